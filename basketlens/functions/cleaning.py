@@ -16,8 +16,18 @@ UNKNOWN = "Inconnu"
 
 
 def parse_date(text: Column) -> Column:
-    """Day-first mixed-format date; what no format accepts becomes NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS])
+    """Day-first mixed-format date; what no format accepts becomes NULL.
+
+    Two-digit years run from 1969 to 2068; Spark reads them all as 20xx.
+    """
+
+    def parsed(fmt: str) -> Column:
+        day = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
+        if "yyyy" in fmt:
+            return day
+        return F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day)
+
+    return F.coalesce(*[parsed(f) for f in DATE_FORMATS])
 
 
 def date_parts(df: DataFrame, column: str = "RegistrationDate", prefix: str = "Reg") -> DataFrame:

@@ -1,0 +1 @@
+"""Registered queries and the SQL of their expected results."""

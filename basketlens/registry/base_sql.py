@@ -6,12 +6,12 @@ CUTOFF = "2000-08-01"
 
 C360 = f"""
 h AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}'),
-li AS (SELECT h.o_custkey, h.o_orderkey, l.*, l.l_extendedprice * (1 - l.l_discount) AS net
+li AS (SELECT h.o_custkey, h.o_orderkey, l.*, (l.l_extendedprice * (1 - l.l_discount))::DECIMAL(18,4) AS net
        FROM h JOIN lineitem l ON l.l_orderkey = h.o_orderkey),
 per_order AS (SELECT o_custkey, o_orderkey, sum(net) AS net, count(*) AS n_lines, count(DISTINCT l_partkey) AS parts
               FROM li GROUP BY 1, 2),
-money AS (SELECT o_custkey, sum(net) AS total, avg(net) AS mean, stddev_samp(net) AS std, min(net) AS low,
-                 max(net) AS high, count(*) AS with_lines, avg(parts) AS parts
+money AS (SELECT o_custkey, sum(net)::DOUBLE AS total, sum(net)::DOUBLE / count(*) AS mean, stddev_samp(net::DOUBLE) AS std,
+                 min(net)::DOUBLE AS low, max(net)::DOUBLE AS high, count(*) AS with_lines, avg(parts) AS parts
           FROM per_order GROUP BY 1),
 line_stats AS (
   SELECT o_custkey, sum(l_quantity) AS qty, min(l_quantity) AS min_qty, max(l_quantity) AS max_qty, count(*) AS n_lines,
@@ -67,3 +67,68 @@ c360 AS (
   LEFT JOIN best bh ON bh.o_custkey = c_custkey AND bh.kind = 'hour'
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)
 """
+
+# Appended to C360: exact stratified split on hashed keys, largest remainders first.
+SPLIT = """
+class_n AS (SELECT Churn, count(*) AS n FROM c360 GROUP BY 1),
+test_n AS (
+  SELECT Churn, floor(e)::BIGINT + (CASE WHEN row_number() OVER (ORDER BY e - floor(e) DESC, Churn)
+         <= t - sum(floor(e)) OVER () THEN 1 ELSE 0 END) AS k
+  FROM (SELECT Churn, ceil(0.2 * sum(n) OVER ()) AS t, ceil(0.2 * sum(n) OVER ()) * n / sum(n) OVER () AS e FROM class_n)),
+split AS (
+  SELECT c.*, CASE WHEN row_number() OVER (PARTITION BY c.Churn ORDER BY md5('split42|' || CustomerID)) <= k
+                   THEN 'test' ELSE 'train' END AS side
+  FROM c360 c JOIN test_n USING (Churn))
+"""
+
+# Appended to C360: the fixed logistic score and its report.
+SCORED = """
+scored AS (
+  SELECT CustomerID, Churn AS label, CASE CustomerID % 50 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 0.25::DOUBLE WHEN 2 THEN 0.5::DOUBLE
+         WHEN 3 THEN 0.75::DOUBLE WHEN 4 THEN 1.0::DOUBLE
+         ELSE round(1 / (1 + exp(-(0.003::DOUBLE * Recency - 0.1::DOUBLE * Frequency))), 2) END AS score FROM c360),
+report AS (
+  SELECT CustomerID, label, score, (score >= 0.5)::INTEGER AS churn_predicted,
+         CASE WHEN score <= 0 THEN NULL WHEN score <= 0.25 THEN 'Faible' WHEN score <= 0.5 THEN 'Moyen'
+              WHEN score <= 0.75 THEN 'Élevé' WHEN score <= 1 THEN 'Critique' END AS risk_level,
+         (score >= 0.5)::INTEGER = label AS correct FROM scored)
+"""
+
+# Appended to C360: spend and a fixed prediction.
+SPEND = """
+spend AS (SELECT CustomerID, MonetaryTotal AS y, TotalQuantity * 2100.0::DOUBLE AS yhat FROM c360 WHERE MonetaryTotal IS NOT NULL)
+"""
+
+# Appended to C360: distances to three fixed centres, nearest first centre on ties.
+CLUSTERED = """
+measured AS (
+  SELECT *, [sqrt((Frequency - 6)^2 + (TotalTransactions - 24)^2 + (CustomerTenureDays - 1500)^2 + (FirstPurchaseDaysAgo - 1800)^2),
+             sqrt((Frequency - 10)^2 + (TotalTransactions - 40)^2 + (CustomerTenureDays - 1750)^2 + (FirstPurchaseDaysAgo - 1900)^2),
+             sqrt((Frequency - 15)^2 + (TotalTransactions - 60)^2 + (CustomerTenureDays - 1850)^2 + (FirstPurchaseDaysAgo - 1950)^2)]
+             AS distances FROM c360),
+clustered AS (SELECT *, (list_position(distances, list_min(distances)) - 1)::INTEGER AS cluster FROM measured)
+"""
+
+# Appended to C360: what-if inputs as text.
+_TEXT = """CASE CustomerID % {p} WHEN 0 THEN '  ' WHEN 1 THEN 'n/a' WHEN 2 THEN NULL ELSE ({e})::VARCHAR END AS {c}"""
+SCENARIOS = "scenarios AS (SELECT CustomerID, " + ", ".join(
+    _TEXT.format(p=p, e=e, c=c)
+    for c, e, p in (
+        ("Frequency", "Frequency", 7),
+        ("MonetaryTotal", "TotalQuantity::INTEGER", 8),
+        ("MonetaryAvg", "MinQuantity::INTEGER * 10", 9),
+        ("CustomerTenureDays", "CustomerTenureDays", 10),
+        ("ReturnRatio", "PreferredDayOfWeek::DOUBLE / 8", 11),
+        ("SupportTicketsCount", "SupportTicketsCount::INTEGER", 12),
+        ("SatisfactionScore", "PreferredMonth", 13),
+        ("Age", "Age::INTEGER", 14),
+        ("RegYear", "2000 + PreferredDayOfWeek", 15),
+        ("RegMonth", "PreferredMonth", 16),
+    )
+) + " FROM c360)"
+
+
+def uniform_sql(salt: str, *keys: str) -> str:
+    """Number in [0, 1) from the hash of a salt and keys."""
+    text = " || '|' || ".join([f"'{salt}'", *keys])
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"

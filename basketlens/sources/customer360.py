@@ -30,7 +30,8 @@ def _first_mode(counts: str, low: int) -> Column:
 
 
 def _order_measures(lineitem: DataFrame, history: DataFrame) -> DataFrame:
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    # Exact money: sums of decimals do not depend on the order the rows arrive in.
+    net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
     lines = lineitem.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(
         F.sum(net).alias("net"),
         F.sum("l_quantity").alias("quantity"),
@@ -45,14 +46,16 @@ def _order_measures(lineitem: DataFrame, history: DataFrame) -> DataFrame:
     bounds = [F.min("min_quantity").alias("min_quantity"), F.max("max_quantity").alias("max_quantity")]
     per_part = owned.groupBy("o_custkey", "o_orderkey", "l_partkey").agg(*[F.sum(c).alias(c) for c in additive], *bounds)
     per_order = per_part.groupBy("o_custkey", "o_orderkey").agg(
-        *[F.sum(c).alias(c) for c in additive], *bounds, F.count("*").alias("parts")
+        *[F.sum(c).cast("decimal(38,4)").alias(c) if c == "net" else F.sum(c).alias(c) for c in additive],
+        *bounds,
+        F.count("*").alias("parts"),
     )
     return per_order.groupBy("o_custkey").agg(
-        F.sum("net").alias("MonetaryTotal"),
-        F.avg("net").alias("MonetaryAvg"),
-        F.when(F.count("*") > 1, F.stddev_samp("net")).alias("MonetaryStd"),
-        F.min("net").alias("MonetaryMin"),
-        F.max("net").alias("MonetaryMax"),
+        F.sum("net").cast("double").alias("MonetaryTotal"),
+        (F.sum("net").cast("double") / F.count("*")).alias("MonetaryAvg"),
+        F.when(F.count("*") > 1, F.stddev_samp(F.col("net").cast("double"))).alias("MonetaryStd"),
+        F.min("net").cast("double").alias("MonetaryMin"),
+        F.max("net").cast("double").alias("MonetaryMax"),
         F.sum("quantity").alias("TotalQuantity"),
         F.min("min_quantity").alias("MinQuantity"),
         F.max("max_quantity").alias("MaxQuantity"),
