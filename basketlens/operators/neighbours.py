@@ -156,13 +156,17 @@ def _box_distance(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 FOUND_SCHEMA = "rep long, q_rep long, q_copies long, d2 double, cell long, radius double, vec array<double>"
 
 
-def _candidates(rep: int, near: np.ndarray, d2: np.ndarray, reps: np.ndarray, copies: np.ndarray) -> list[tuple]:
-    return [(rep, int(reps[i]), int(copies[i]), float(d2[i]), None, None, None) for i in near]
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=[f.split()[0] for f in FOUND_SCHEMA.split(", ")])
-    return frame.astype({"q_rep": "Int64", "q_copies": "Int64", "cell": "Int64"})
+def _candidates(found: list[tuple[int, np.ndarray, np.ndarray]], reps: np.ndarray, copies: np.ndarray) -> pd.DataFrame:
+    """One line per (row, neighbour) from (row's rep, neighbour positions, their distances)."""
+    at = np.concatenate([near for _, near, _ in found]) if found else np.array([], dtype=np.int64)
+    return pd.DataFrame(
+        {
+            "rep": np.repeat([rep for rep, _, _ in found], [len(near) for _, near, _ in found]).astype(np.int64),
+            "q_rep": reps[at],
+            "q_copies": copies[at],
+            "d2": np.concatenate([d2 for _, _, d2 in found]) if found else np.array([]),
+        }
+    )
 
 
 def nearest_neighbours(
@@ -195,7 +199,7 @@ def nearest_neighbours(
         x, reps, copies = _matrix(pdf["vec"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
         own = int(pdf["cell"].iloc[0])
         radius = np.full(len(x), np.inf)
-        rows: list[tuple] = []
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
         step = max(1, BLOCK // len(x))
         for start in range(0, len(x), step):
             block = _squared(x[start : start + step], x)
@@ -212,7 +216,8 @@ def nearest_neighbours(
                 if len(reach):
                     near = near[: reach[0] + 1]
                     radius[i] = d2[near[-1]]
-                rows += _candidates(int(reps[i]), near, d2, reps, copies)
+                found.append((reps[i], near, d2[near]))
+        out = [_candidates(found, reps, copies).assign(cell=pd.NA, radius=np.nan, vec=None)]
         cells, lo, hi = boxes.value
         limit = radius.max() * SLACK
         here = (np.maximum(lo - x.max(0), 0.0) ** 2 + np.maximum(x.min(0) - hi, 0.0) ** 2).sum(1)
@@ -220,35 +225,36 @@ def nearest_neighbours(
         step = max(1, BLOCK // len(x))
         for start in range(0, len(close), step):
             part = close[start : start + step]
-            reachable = _box_distance(x, lo[part], hi[part]) <= (radius * SLACK)[:, None]
-            for i, j in zip(*np.nonzero(reachable)):
-                bound = float(radius[i]) if np.isfinite(radius[i]) else None
-                rows.append((int(reps[i]), None, None, None, int(cells[part[j]]), bound, x[i]))
-        return _frame(rows)
+            i, j = np.nonzero(_box_distance(x, lo[part], hi[part]) <= (radius * SLACK)[:, None])
+            visits = {"rep": reps[i], "q_rep": pd.NA, "q_copies": pd.NA, "d2": np.nan, "cell": cells[part[j]]}
+            out.append(pd.DataFrame({**visits, "radius": radius[i], "vec": list(x[i])}))
+        numbers = {"q_rep": "Int64", "q_copies": "Int64", "cell": "Int64"}
+        return pd.concat([f.astype(numbers) for f in out if len(f)] or [out[0].astype(numbers)])
 
     first_pass = stage(placed.groupBy("cell").applyInPandas(search_cell, FOUND_SCHEMA), "near")
-    local = first_pass.where(F.col("q_rep").isNotNull()).select("rep", "q_rep", "q_copies", "d2")
-    visits = first_pass.where(F.col("q_rep").isNull()).select("rep", "cell", "radius", "vec")
+    local = first_pass.where(F.col("cell").isNull()).select("rep", "q_rep", "q_copies", "d2")
+    visits = first_pass.where(F.col("cell").isNotNull()).select("rep", "cell", "radius", "vec")
 
     spread = visits.groupBy("cell").agg(F.ceil(F.count("*") / visit_rows).cast("int").alias("tasks"))
     visitors = visits.join(spread, "cell").withColumn("task", F.pmod(F.xxhash64("rep"), "tasks").cast("int"))
     hosts = placed.join(spread, "cell").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
 
     def search_visits(guests: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple] = []
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        reps = copies = np.array([], dtype=np.int64)
         if len(guests) and len(residents):
             residents = residents.sort_values("rep")
             x, y = _matrix(guests["vec"]), _matrix(residents["vec"])
             reps, copies = residents["rep"].to_numpy(), residents["copies"].to_numpy()
-            limits, names_ = guests["radius"].fillna(np.inf).to_numpy() * SLACK, guests["rep"].to_numpy()
+            limits, guest_reps = guests["radius"].to_numpy() * SLACK, guests["rep"].to_numpy()
             step = max(1, BLOCK // len(y))
             for start in range(0, len(x), step):
                 for offset, d2 in enumerate(_squared(x[start : start + step], y)):
                     i = start + offset
                     near = _nearest(d2, k)
                     near = near[d2[near] <= limits[i]]
-                    rows += _candidates(int(names_[i]), near, d2, reps, copies)
-        return _frame(rows)[["rep", "q_rep", "q_copies", "d2"]]
+                    found.append((guest_reps[i], near, d2[near]))
+        return _candidates(found, reps, copies)
 
     visited = (
         visitors.select("cell", "task", "rep", "radius", "vec")

@@ -109,7 +109,10 @@ def score_scenarios(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame
     second = spend.scaler.transform(
         scored.select(key, "entered_total", "segment", "distances", "p", "for_spend.*")
     )
-    result = bundle.models["regressor_monetary"].transform(second)
+    # Closeness is measured on the distances as shown.
+    result = bundle.models["regressor_monetary"].transform(second).withColumn(
+        "distances", F.transform("distances", lambda d: F.bround(d, 3))
+    )
     level = risk_level(F.col("p"), closed="left")
     predicted = F.bround("monetary_predicted", 2)
     return result.select(
@@ -118,7 +121,7 @@ def score_scenarios(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame
         decide(F.col("p")).alias("churn_predicted"),
         level.alias("risk_level"),
         "segment",
-        F.transform("distances", lambda d: F.bround(d, 3)).alias("distances"),
+        "distances",
         closeness(F.col("distances")).alias("closeness"),
         predicted.alias("monetary_predicted"),
         spend_delta(predicted, F.col("entered_total")).alias("spend_delta"),

@@ -1,9 +1,9 @@
 """Customer-360 table derived from the transaction tables.
 
-Every line is reduced to (order, part, supplier) before it meets the orders, and
-every distinct count goes through its own (customer, value) reduction first, so a
-customer or order holding a large share of the lines is combined map-side and
-spread over tasks. Bounded domains (weekday, month, hour) are counted in plain
+Lines are reduced to (order, part), then to one row per order, before they meet
+the orders, and the distinct counts start from distinct (customer, part, supplier)
+rows, so a customer or order holding a large share of the lines is combined
+map-side and spread over tasks. Bounded domains (weekday, month, hour) are counted in plain
 aggregate columns, which needs no shuffle of their own. No join carries a
 broadcast hint: Spark broadcasts a side when its size is known to be small.
 """
@@ -32,7 +32,7 @@ def _first_mode(counts: str, low: int) -> Column:
 def _order_measures(lineitem: DataFrame, history: DataFrame) -> DataFrame:
     # Exact money: sums of decimals do not depend on the order the rows arrive in.
     net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
-    lines = lineitem.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(
+    per_part = lineitem.groupBy("l_orderkey", "l_partkey").agg(
         F.sum(net).alias("net"),
         F.sum("l_quantity").alias("quantity"),
         F.min("l_quantity").alias("min_quantity"),
@@ -41,16 +41,16 @@ def _order_measures(lineitem: DataFrame, history: DataFrame) -> DataFrame:
         F.count_if(F.col("l_returnflag") == "R").alias("returned"),
         F.count_if(F.col("l_extendedprice") == 0).alias("zero_price"),
     )
-    owned = lines.join(history.select("o_orderkey", "o_custkey"), lines.l_orderkey == F.col("o_orderkey"))
-    additive = ("net", "quantity", "lines", "returned", "zero_price")
-    bounds = [F.min("min_quantity").alias("min_quantity"), F.max("max_quantity").alias("max_quantity")]
-    per_part = owned.groupBy("o_custkey", "o_orderkey", "l_partkey").agg(*[F.sum(c).alias(c) for c in additive], *bounds)
-    per_order = per_part.groupBy("o_custkey", "o_orderkey").agg(
-        *[F.sum(c).cast("decimal(38,4)").alias(c) if c == "net" else F.sum(c).alias(c) for c in additive],
-        *bounds,
+    # One row per order before the join, so no order can skew it.
+    per_order = per_part.groupBy("l_orderkey").agg(
+        F.sum("net").cast("decimal(38,4)").alias("net"),
+        *[F.sum(c).alias(c) for c in ("quantity", "lines", "returned", "zero_price")],
+        F.min("min_quantity").alias("min_quantity"),
+        F.max("max_quantity").alias("max_quantity"),
         F.count("*").alias("parts"),
     )
-    return per_order.groupBy("o_custkey").agg(
+    owned = history.select("o_orderkey", "o_custkey").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    return owned.groupBy("o_custkey").agg(
         F.sum("net").cast("double").alias("MonetaryTotal"),
         (F.sum("net").cast("double") / F.count("*")).alias("MonetaryAvg"),
         F.when(F.count("*") > 1, F.stddev_samp(F.col("net").cast("double"))).alias("MonetaryStd"),
