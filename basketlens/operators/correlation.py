@@ -41,20 +41,26 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
         (_value(c) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0) for i, c in enumerate(columns)
     ]
     wide = [F.coalesce(u, F.lit(0.0)).alias(f"x{i}") for i, u in enumerate(unit)]
-    wide += [F.coalesce(u * u, F.lit(0.0)).alias(f"q{i}") for i, u in enumerate(unit)]
-    wide += [F.when(_value(columns[i]).isNotNull(), 1.0).otherwise(0.0).alias(f"p{i}") for i in gaps]
-    wide.append(F.lit(1.0).alias("one"))
+    if gaps:
+        wide += [F.coalesce(u * u, F.lit(0.0)).alias(f"q{i}") for i, u in enumerate(unit)]
+        wide += [F.when(_value(columns[i]).isNotNull(), 1.0).otherwise(0.0).alias(f"p{i}") for i in gaps]
+        wide.append(F.lit(1.0).alias("one"))
     table = df.select(*wide)
     vectors = VectorAssembler(inputCols=table.columns, outputCol="v").transform(table).select("v")
     sums = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
 
-    presence = np.full(d, 2 * d + len(gaps))
-    presence[gaps] = 2 * d + np.arange(len(gaps))
     x, q = np.arange(d), d + np.arange(d)
-    n = sums[np.ix_(presence, presence)]
     sum_xy = sums[np.ix_(x, x)]
-    sum_x = sums[np.ix_(x, presence)]  # x_i over the rows where j is present
-    sum_xx = sums[np.ix_(q, presence)]
+    if gaps:
+        presence = np.full(d, 2 * d + len(gaps))
+        presence[gaps] = 2 * d + np.arange(len(gaps))
+        n = sums[np.ix_(presence, presence)]
+        sum_x = sums[np.ix_(x, presence)]  # x_i over the rows where j is present
+        sum_xx = sums[np.ix_(q, presence)]
+    else:
+        # Standardised columns without gaps: the sums are 0 and the squares add up to the rows.
+        n = np.full((d, d), float(stats["rows"]))
+        sum_x, sum_xx = np.zeros((d, d)), n
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = sum_x / n
         cov = sum_xy / n - mean * mean.T

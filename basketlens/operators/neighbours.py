@@ -63,6 +63,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _assign(points: DataFrame, cells: _Cells) -> DataFrame:
+    if len(cells.axis) == 1:
+        return points.withColumn("cell", F.lit(0).cast("long"))
     shared = points.sparkSession.sparkContext.broadcast(cells.frozen())
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

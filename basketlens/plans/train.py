@@ -214,6 +214,7 @@ class TrainingSizes:
     churn_trees: int = 200
     churn_rounds: int = 200
     spend_trees: int = 200
+    spend_depth: int = 12
     segments: range = field(default_factory=lambda: range(2, 9))
     restarts: int = 10
 
@@ -255,7 +256,7 @@ def train_all(prepared: Prepared, sizes: TrainingSizes = TrainingSizes(), select
     comparison = compare_models(churn, train, test)
     if select_on == "test":
         chosen = choose_model(comparison)
-    spend = fit_spend(prepared, trees=sizes.spend_trees)
+    spend = fit_spend(prepared, trees=sizes.spend_trees, depth=sizes.spend_depth)
     return Trained(prepared, components, segmentation, churn, comparison, chosen, spend)
 
 

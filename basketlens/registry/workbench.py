@@ -22,7 +22,7 @@ from basketlens.staging import new_path, stage
 
 # Small enough for a check run; the library defaults are the full sizes.
 CHECK_SIZES = TrainingSizes(
-    importance_trees=20, churn_trees=20, churn_rounds=10, spend_trees=20, segments=range(2, 5), restarts=1
+    importance_trees=20, churn_trees=20, churn_rounds=10, spend_trees=10, spend_depth=8, segments=range(2, 5), restarts=1
 )
 
 CLUSTER_FEATURES = ["Frequency", "TotalTransactions", "CustomerTenureDays", "FirstPurchaseDaysAgo"]
