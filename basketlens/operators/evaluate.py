@@ -87,14 +87,16 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score, from the highest; one table row per score."""
+    """(threshold, fpr, tpr): the origin, then every distinct score from the highest; one table row per score."""
     points = stage(_by_score(df, label, score), "roc")
     totals = points.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    return points.select(
-        F.col("score").alias("threshold"),
+    curve = points.select(
+        F.col("score").cast("double").alias("threshold"),
         F.try_divide("fp", F.lit(totals["n"])).alias("fpr"),
         F.try_divide("tp", F.lit(totals["p"])).alias("tpr"),
     )
+    origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], curve.schema)
+    return origin.unionByName(curve)
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:

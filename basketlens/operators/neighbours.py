@@ -110,11 +110,15 @@ def _partition(points: DataFrame, d: int, cell_rows: int) -> tuple[DataFrame, di
     while True:
         assigned = _assign(points, cells)
         bounds = _bounds(assigned, d)
+        if attempt == 0:
+            # Larger cells for very long tables, so that the cells' bounds stay within their limit.
+            rows = sum(b[0] for b in bounds.values())
+            cell_rows = max(cell_rows, math.ceil(8 * rows * d / MAX_BOX_NUMBERS))
         large = {c: b for c, b in bounds.items() if b[0] > cell_rows}
         if not large:
             return stage(assigned, "cells"), bounds
         if 2 * d * len(bounds) > MAX_BOX_NUMBERS:
-            raise ValueError("too many cells for their bounds to be shared: raise cell_rows")
+            raise ValueError(f"{len(bounds)} cells: their bounds are too large to be shared")
         rate = min(1.0, SAMPLE_ROWS / sum(b[0] for b in large.values()))
         chosen = assigned.where(F.col("cell").isin(*large)) if len(large) < len(bounds) else assigned
         picked = chosen.where(uniform(f"cells{attempt}", "rep") < rate).select("cell", "vec").toPandas()

@@ -18,13 +18,16 @@ def smote(
     k: int = 5,
     seed: int = 42,
     cell_rows: int = CELL_ROWS,
+    categorical: tuple[str, ...] = (),
 ) -> DataFrame:
     """Training rows plus synthetic rows until every class is as large as the largest.
 
     Output: ``key, copy, label, features``. Real rows have ``copy`` 0; a synthetic
     row has its parent's key and counts from 1. The new rows are dealt evenly over
     the parents (the rest in draw order); the neighbour's rank and the place
-    between the two rows are draws of (parent, copy).
+    between the two rows are draws of (parent, copy). ``categorical`` columns hold
+    codes: they take the code of the nearer of the two rows instead of a value
+    between two codes.
     """
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()}
     if len(counts) > MAX_STRATA:
@@ -34,11 +37,14 @@ def smote(
     out = train.select(key, F.lit(0).alias("copy"), label, *numbers)
     for value, rows in sorted(counts.items()):
         if rows < largest:
-            out = out.unionByName(_synthetic(train, value, rows, largest - rows, features, label, key, k, seed, cell_rows))
+            made = _synthetic(
+                train, value, rows, largest - rows, features, label, key, k, seed, cell_rows, categorical
+            )
+            out = out.unionByName(made)
     return out
 
 
-def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_rows) -> DataFrame:
+def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_rows, categorical) -> DataFrame:
     if rows < 2:
         raise ValueError(f"class {value!r} has a single row: no neighbour to interpolate to")
     k = min(k, rows - 1)
@@ -62,12 +68,16 @@ def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_r
     drawn = parents.withColumn("rank", rank).join(neighbours, ["rep", "rank"])
     gap = uniform(f"gap{seed}", "key", "copy")
     made = drawn.withColumn("gap", gap)
+
+    def mixed(i: int, column: str):
+        own, other = F.col("vec")[i], F.col("neighbour")[i]
+        if column in categorical:
+            return F.when(F.col("gap") < 0.5, own).otherwise(other)
+        return own + F.col("gap") * (other - own)
+
     return made.select(
         F.col("key").alias(key),
         "copy",
         F.lit(value).alias(label),
-        *[
-            (F.col("vec")[i] + F.col("gap") * (F.col("neighbour")[i] - F.col("vec")[i])).alias(c)
-            for i, c in enumerate(features)
-        ],
+        *[mixed(i, c).alias(c) for i, c in enumerate(features)],
     )

@@ -149,11 +149,14 @@ def prepare(
     importance_threshold: float = 0.005,
     importance_trees: int = 100,
     oversample: bool = True,
+    interpolate_codes: bool = True,
 ) -> Prepared:
     """Clean, engineer, split, impute, prune, balance and scale.
 
     ``fit_scope="all"`` learns the steps before the split from every row, for
     comparison with pipelines that do so; the default learns from train rows only.
+    ``interpolate_codes=False`` gives synthetic rows an existing label code instead
+    of a value between two codes.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope must be 'train' or 'all'")
@@ -184,7 +187,9 @@ def prepare(
 
     test = test.select(key, target, *features)
     if oversample:
-        balanced = stage(smote(train.select(key, target, *features), features, target, key, seed=seed), "balanced")
+        codes = () if interpolate_codes else tuple(c for c in features if c in text)
+        rows = train.select(key, target, *features)
+        balanced = stage(smote(rows, features, target, key, seed=seed, categorical=codes), "balanced")
     else:
         balanced = train.select(key, F.lit(0).alias("copy"), target, *features)
     scaler = fit_scaler(balanced, features)

@@ -225,11 +225,13 @@ roc AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER ()
 
 @query(
     "ev_roc_curve",
-    f"WITH {C360}, {SCORED}, {_ROC} SELECT score AS threshold, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM roc",
+    f"WITH {C360}, {SCORED}, {_ROC} SELECT score AS threshold, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM roc "
+    "UNION ALL SELECT NULL, 0, 0",
 )
 def roc(wb):
     out = evaluate.roc_curve(wb.scored, "label", "score")
-    return out.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+    shown = F.when(F.col("threshold") < float("inf"), F.col("threshold")).alias("threshold")
+    return out.select(shown, F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 
 @query(

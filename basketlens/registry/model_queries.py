@@ -130,22 +130,22 @@ def model_bundle(wb):
 
 @query("job_churn_scores")
 def churn_scores(wb):
-    return score.score_churn(wb.test_customers, wb.bundle, wb.test_customers.select(KEY, TARGET))
+    return score.score_churn(wb.customers, wb.bundle, wb.customers.select(KEY, TARGET))
 
 
 @query("job_segments")
 def segments(wb):
-    return score.score_segments(wb.test_customers, wb.bundle)
+    return score.score_segments(wb.customers, wb.bundle)
 
 
 @query("job_monetary")
 def monetary(wb):
-    return score.score_spend(wb.test_customers, wb.bundle)
+    return score.score_spend(wb.customers, wb.bundle)
 
 
 @query("job_modes")
 def modes(wb):
-    reports = score.run_scoring(wb.test_customers, wb.bundle, ("all",))
+    reports = score.run_scoring(wb.customers, wb.bundle, ("all",))
     counts = [df.agg(F.lit(mode).alias("mode"), F.count("*").alias("rows")) for mode, df in reports.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
@@ -162,10 +162,10 @@ def diagnostics(wb):
 
 @query("job_stream_scores")
 def stream_scores(wb):
-    """Every test customer arrives as a file stream and is scored once."""
+    """The customer table arrives as a file stream and every row is scored once."""
     arrived = wb.path("arrived")
-    wb.test_customers.write.parquet(arrived)
-    stream = score_stream.read_customers(wb.spark, arrived, wb.test_customers.schema)
+    wb.customers.write.parquet(arrived)
+    stream = score_stream.read_customers(wb.spark, arrived, wb.customers.schema)
     out = wb.path("stream_scores")
     scored = score_stream.score_customers(stream, wb.bundle, "churn")
     score_stream.write_available(scored, out, wb.path("stream_checkpoint")).awaitTermination()

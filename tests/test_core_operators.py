@@ -163,6 +163,13 @@ def test_smote_balances_and_interpolates(spark):
     assert again == {(r["k"], r["copy"], r["a"]) for r in out}
 
 
+def test_smote_keeps_codes_whole(spark):
+    rows = [(i, int(i % 4 == 0), float(i % 7), float(i % 3)) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, y int, a double, code double")
+    out = smote(df, ["a", "code"], "y", "k", categorical=("code",)).where("copy > 0").collect()
+    assert len(out) == 40 and {r["code"] for r in out} <= {0.0, 1.0, 2.0}
+
+
 def test_smote_refuses_a_single_row(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0), (3, 1, 1.0)], "k long, y int, a double")
     with pytest.raises(ValueError):

@@ -211,7 +211,7 @@ def test_auc_with_ties_and_single_class(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.9), (1, 0.4), (0, 0.1)], "y int, s double")
     assert evaluate.roc_auc(df, "y", "s").first()["auc"] == pytest.approx(0.625)
     points = {r["threshold"]: (r["fpr"], r["tpr"]) for r in evaluate.roc_curve(df, "y", "s").collect()}
-    assert points == {0.9: (0.5, 0.5), 0.4: (0.5, 1.0), 0.1: (1.0, 1.0)}
+    assert points == {math.inf: (0.0, 0.0), 0.9: (0.5, 0.5), 0.4: (0.5, 1.0), 0.1: (1.0, 1.0)}
     assert evaluate.roc_auc(df.where("y = 1"), "y", "s").first()["auc"] is None
 
 
