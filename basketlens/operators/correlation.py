@@ -17,33 +17,22 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from basketlens.operators.columns import column_stats, present
 from basketlens.operators.select import numeric_columns
 
 PAIR_SCHEMA = "feature_1 string, feature_2 string, correlation double"
 
 
-def _value(column: str):
-    v = F.col(column).cast("double")
-    return F.when(~F.isnan(v), v)
-
-
 def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     """Pairwise r in the order of ``columns``; NaN where a side is constant or never present."""
     d = len(columns)
-    stats = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.avg(_value(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(_value(c)).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
-    gaps = [i for i in range(d) if stats[f"n{i}"] < stats["rows"]]
-    unit = [
-        (_value(c) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0) for i, c in enumerate(columns)
-    ]
+    stats = column_stats(df, columns)
+    gaps = [i for i, c in enumerate(columns) if stats[c].present < stats[c].rows]
+    unit = [(present(c) - F.lit(stats[c].mean or 0.0)) / F.lit(stats[c].deviation or 1.0) for c in columns]
     wide = [F.coalesce(u, F.lit(0.0)).alias(f"x{i}") for i, u in enumerate(unit)]
     if gaps:
         wide += [F.coalesce(u * u, F.lit(0.0)).alias(f"q{i}") for i, u in enumerate(unit)]
-        wide += [F.when(_value(columns[i]).isNotNull(), 1.0).otherwise(0.0).alias(f"p{i}") for i in gaps]
+        wide += [F.when(present(columns[i]).isNotNull(), 1.0).otherwise(0.0).alias(f"p{i}") for i in gaps]
         wide.append(F.lit(1.0).alias("one"))
     table = df.select(*wide)
     vectors = VectorAssembler(inputCols=table.columns, outputCol="v").transform(table).select("v")
@@ -59,7 +48,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
         sum_xx = sums[np.ix_(q, presence)]
     else:
         # Standardised columns without gaps: the sums are 0 and the squares add up to the rows.
-        n = np.full((d, d), float(stats["rows"]))
+        n = np.full((d, d), float(stats[columns[0]].rows))
         sum_x, sum_xx = np.zeros((d, d)), n
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = sum_x / n
@@ -68,7 +57,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
         floor = 1e-12 * np.maximum(1.0, sum_xx / n)  # constant up to rounding
         var = np.where(var > floor, var, np.nan)
         r = cov / np.sqrt(var * var.T)
-    constant = np.array([not stats[f"s{i}"] for i in range(d)])
+    constant = np.array([not stats[c].deviation for c in columns])
     r[constant, :] = np.nan
     r[:, constant] = np.nan
     return np.clip(r, -1.0, 1.0)

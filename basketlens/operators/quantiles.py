@@ -12,7 +12,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from basketlens.operators.columns import column_stats, present
 
 BUCKETS = 1024
 FETCH_ROWS = 10_000
@@ -29,16 +31,11 @@ class _Bracket:
     value: float | None = None
 
 
-def _present(column: str) -> Column:
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
-
-
 def _bracket_rows(df: DataFrame, spans: list[tuple[str, float, float]], bucket: bool) -> DataFrame:
     """(span, value[, bucket]) rows of every span, from one scan."""
     entries = []
     for i, (column, low, high) in enumerate(spans):
-        value = _present(column)
+        value = present(column)
         fields = [F.lit(i).alias("span"), F.when(value.between(low, high), value).alias("v")]
         if bucket:
             position = F.floor((value - low) / (high - low) * BUCKETS)
@@ -66,26 +63,12 @@ def exact_quantiles(
     """Linearly interpolated quantiles, missing values left out; None for an empty column."""
     if not columns:
         return {}
-    outer = df.agg(
-        *[
-            e.alias(f"{what}{i}")
-            for i, c in enumerate(columns)
-            for what, e in (
-                ("n", F.count(_present(c))),
-                ("lo", F.min(_present(c))),
-                ("hi", F.max(_present(c))),
-            )
-        ]
-    ).first()
     brackets: dict[tuple[str, float], _Bracket] = {}
-    for i, c in enumerate(columns):
-        n = outer[f"n{i}"]
-        if not n:
-            continue
-        for p in probabilities:
-            place = p * (n - 1)
+    for c, stats in column_stats(df, columns).items():
+        for p in probabilities if stats.present else ():
+            place = p * (stats.present - 1)
             rank = math.floor(place)
-            brackets[c, p] = _Bracket(c, rank, place - rank, outer[f"lo{i}"], outer[f"hi{i}"], n)
+            brackets[c, p] = _Bracket(c, rank, place - rank, stats.low, stats.high, stats.present)
 
     while True:
         for b in brackets.values():

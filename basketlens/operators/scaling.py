@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketlens.operators.columns import column_stats
 from basketlens.operators.quantiles import exact_quantiles
 from basketlens.operators.select import is_missing
 
@@ -14,11 +15,8 @@ def train_medians(train: DataFrame, columns: list[str], test: DataFrame | None =
     """Exact training median of every column with a gap on either side; a column never present gives none."""
     gaps: set[str] = set()
     for side in (train, test):
-        if side is None:
-            continue
-        fields = {f.name: f for f in side.schema}
-        row = side.agg(*[F.count_if(is_missing(fields[c])).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-        gaps |= {c for i, c in enumerate(columns) if row[f"m{i}"]}
+        if side is not None:
+            gaps |= {c for c, s in column_stats(side, columns).items() if s.present < s.rows}
     found = exact_quantiles(train, [c for c in columns if c in gaps], [0.5])
     return {c: q[0.5] for c, q in found.items() if q[0.5] is not None}
 
@@ -56,14 +54,11 @@ class Scaler:
 
 
 def fit_scaler(train: DataFrame, columns: list[str]) -> Scaler:
-    row = train.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
+    stats = column_stats(train, columns)
     return Scaler(
         tuple(columns),
-        tuple(row[f"m{i}"] or 0.0 for i in range(len(columns))),
-        tuple(row[f"s{i}"] or 0.0 for i in range(len(columns))),
+        tuple(stats[c].mean or 0.0 for c in columns),
+        tuple(stats[c].deviation or 0.0 for c in columns),
     )
 
 

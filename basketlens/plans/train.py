@@ -146,14 +146,15 @@ def churn_probability(df: DataFrame, model: PipelineModel, keep: tuple[str, ...]
     )
 
 
+def held_out_auc(model: PipelineModel, rows: DataFrame, label: str = TARGET) -> float | None:
+    return roc_auc(churn_probability(rows, model, (label,)), label, "churn_probability").first()["auc"]
+
+
 def compare_models(models: dict[str, PipelineModel], train: DataFrame, test: DataFrame, label: str = TARGET) -> DataFrame:
     """(model, train_auc, test_auc, gap), in the order given."""
     rows = []
     for name, model in models.items():
-        aucs = [
-            roc_auc(churn_probability(side, model, (label,)), label, "churn_probability").first()["auc"]
-            for side in (train, test)
-        ]
+        aucs = [held_out_auc(model, side, label) for side in (train, test)]
         rows.append((name, *aucs, None if None in aucs else aucs[0] - aucs[1]))
     return train.sparkSession.createDataFrame(rows, "model string, train_auc double, test_auc double, gap double")
 
@@ -250,8 +251,8 @@ def train_all(prepared: Prepared, sizes: TrainingSizes = TrainingSizes(), select
         # A synthetic row stays with its parent, so none of it leaks into the fold.
         inner = train.join(held.select(KEY), KEY, "left_anti")
         fold = folds.where("split = 'test'").drop("split")
-        trial = _churn_models(inner, features, sizes)
-        chosen = choose_model(compare_models(trial, inner, fold))
+        trial = [(n, held_out_auc(m, fold)) for n, m in _churn_models(inner, features, sizes).items()]
+        chosen = choose_model(train.sparkSession.createDataFrame(trial, "model string, test_auc double"))
     churn = _churn_models(train, features, sizes)
     comparison = compare_models(churn, train, test)
     if select_on == "test":

@@ -11,7 +11,7 @@ from basketlens.operators.split import random_split
 from basketlens.plans.prepare import feature_importance
 from basketlens.registry.base_sql import C360, SCORED, SPEND, SPLIT, uniform_sql
 from basketlens.registry.workbench import query
-from basketlens.sources.customers import KEY, TARGET
+from basketlens.sources.customers import KEY, TARGET, write_table
 
 TEXTS = ["Country", "Region", "OrderPriority", "Gender"]
 NUMBERS = ["Frequency", "UniqueInvoices", "TotalQuantity", "CustomerTenureDays", "FirstPurchaseDaysAgo", "UniqueProducts",
@@ -172,17 +172,54 @@ def weights(wb):
     return scaling.class_weights(_train(wb), TARGET).withColumn("weight", F.round("weight", 6))
 
 
-@query("fit_prepare")
+@query(
+    "fit_prepare",
+    f"""WITH {C360}, {SPLIT}, n AS (SELECT side, Churn, count(*) AS n FROM split GROUP BY 1, 2)
+    SELECT side, Churn, CASE WHEN side = 'train' THEN max(n) OVER (PARTITION BY side) ELSE n END AS n FROM n""",
+)
 def preparation_job(wb):
-    prepared = wb.prepared
-    sides = [prepared.train.select(TARGET, F.lit("train").alias("side")), prepared.test.select(TARGET, F.lit("test").alias("side"))]
-    counted = sides[0].unionByName(sides[1]).groupBy("side", TARGET).agg(F.count("*").alias("n"))
-    return counted.withColumn("features", F.lit(len(prepared.preparation.features)))
+    """Rows per side and class after the whole preparation: train balanced, test as it was."""
+    sides = [
+        wb.prepared.train.select(F.lit("train").alias("side"), TARGET),
+        wb.prepared.test.select(F.lit("test").alias("side"), TARGET),
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("side", TARGET).agg(F.count("*").alias("n"))
+
 
+_SIDE_CODES = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS field, v, (row_number() OVER (ORDER BY v) - 1)::DOUBLE AS code "
+    f"FROM (SELECT DISTINCT coalesce({c}, 'Inconnu') AS v FROM split WHERE side = 'train')"
+    for c in TEXTS
+)
+_CODE = "coalesce((SELECT code FROM codes WHERE field = '{c}' AND v = coalesce(s.{c}, 'Inconnu')), 0) AS {c}"
 
-@query("snk_processed_table")
+
+@query(
+    "snk_processed_table",
+    f"""WITH {C360}, {SPLIT}, codes AS ({_SIDE_CODES}),
+    q AS (SELECT quantile_cont(MonetaryTotal, 0.01) AS lo, quantile_cont(MonetaryTotal, 0.99) AS hi FROM split WHERE side = 'train'),
+    d AS (SELECT *, coalesce(try_strptime(RegistrationDate, '%d/%m/%y'), try_strptime(RegistrationDate, '%Y-%m-%d'),
+      try_strptime(RegistrationDate, '%d/%m/%Y'), try_strptime(RegistrationDate, '%m/%d/%Y'))::DATE AS day,
+      CASE WHEN MonetaryTotal IS NOT NULL THEN least(greatest(MonetaryTotal, lo), hi) END AS clipped FROM split, q)
+    SELECT CustomerID, Churn, side AS split, Frequency::DOUBLE AS Frequency, round(clipped / 1000, 2) AS thousands, Age,
+    CASE WHEN SupportTicketsCount BETWEEN 0 AND 15 THEN SupportTicketsCount END AS SupportTicketsCount,
+    CASE WHEN SatisfactionScore BETWEEN 1 AND 5 THEN SatisfactionScore END AS SatisfactionScore,
+    {", ".join(_CODE.format(c=c) for c in TEXTS)},
+    year(day)::DOUBLE AS RegYear, month(day)::DOUBLE AS RegMonth, day(day)::DOUBLE AS RegDay, (isodow(day) - 1)::DOUBLE AS RegWeekday,
+    coalesce(try_cast(split_part(LastLoginIP, '.', 1) AS INTEGER) IN (10, 127, 172, 192), false)::INTEGER::DOUBLE AS IP_IsPrivate,
+    UniqueProducts / (TotalTransactions + 1) AS DiversityRatio, CancelledTransactions / (TotalTransactions + 1) AS CancelRate,
+    round(clipped / (Frequency + 1) / 1000, 2) AS basket_thousands FROM d s""",
+)
 def processed_table(wb):
-    return wb.prepared.processed
+    """Cleaned, engineered and encoded rows, with everything fitted on the training side."""
+    kept = [KEY, TARGET, "split", "Frequency", "Age", "SupportTicketsCount", "SatisfactionScore", *TEXTS, "RegYear", "RegMonth",
+            "RegDay", "RegWeekday", "IP_IsPrivate", "DiversityRatio", "CancelRate"]
+    path = write_table(wb.prepared.processed, wb.path("processed"), partition_by=("split",))
+    return wb.spark.read.parquet(path).select(
+        *kept,
+        F.round(F.col("MonetaryTotal") / 1000, 2).alias("thousands"),
+        F.round(F.col("AvgBasket") / 1000, 2).alias("basket_thousands"),
+    )
 
 
 @query(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from basketlens.functions import whatif
 from basketlens.operators import clustering
 from basketlens.plans import report, score, train
 from basketlens.registry.base_sql import C360, CLUSTERED, SCORED, SPEND
-from basketlens.registry.workbench import query
+from basketlens.registry import feature_queries  # noqa: F401  registers the what-if SQL used below
+from basketlens.registry.workbench import EXPECTED_SQL, query
 from basketlens.sources.artefacts import load_bundle, save_bundle
 from basketlens.sources.customers import KEY, TARGET
 from basketlens.streaming import score_stream
@@ -122,7 +124,11 @@ def importance(wb):
     return train.top_features(wb.spark, wb.trained.churn_models["random_forest"], _features(wb))
 
 
-@query("snk_model_bundle")
+@query(
+    "snk_model_bundle",
+    """SELECT name, true AS loaded FROM (VALUES ('classifier_churn'), ('pca'), ('kmeans'), ('regressor_monetary'), ('preparation'),
+    ('preparation_monetary')) v(name)""",
+)
 def model_bundle(wb):
     path = save_bundle(wb.bundle, wb.spark, wb.path("models"))
     return load_bundle(wb.spark, path).inventory(wb.spark)
@@ -143,7 +149,10 @@ def monetary(wb):
     return score.score_spend(wb.customers, wb.bundle)
 
 
-@query("job_modes")
+@query(
+    "job_modes",
+    f"""WITH {C360} SELECT mode, count(*) AS rows FROM c360, (VALUES ('churn'), ('segment'), ('monetary')) v(mode) GROUP BY 1""",
+)
 def modes(wb):
     reports = score.run_scoring(wb.customers, wb.bundle, ("all",))
     counts = [df.agg(F.lit(mode).alias("mode"), F.count("*").alias("rows")) for mode, df in reports.items()]
@@ -172,6 +181,18 @@ def stream_scores(wb):
     return wb.spark.read.schema(scored.schema).parquet(out)
 
 
+@query("job_stream_scenarios", EXPECTED_SQL["fn_whatif_vector"])
+def stream_scenarios(wb):
+    """What-if inputs arrive as a file stream; defaults and derived features are added record by record."""
+    arrived = wb.path("arrived_scenarios")
+    wb.scenarios.write.parquet(arrived)
+    stream = whatif.with_defaults(score_stream.read_customers(wb.spark, arrived, wb.scenarios.schema))
+    shown = stream.select(KEY, *[F.round(e.cast("double"), 6).alias(n) for n, e in whatif.derived_features().items()])
+    out = wb.path("stream_scenarios")
+    score_stream.write_available(shown, out, wb.path("stream_checkpoint")).awaitTermination()
+    return wb.spark.read.schema(shown.schema).parquet(out)
+
+
 @query(
     "job_prediction_summary",
     f"""WITH {C360}, {SPEND} SELECT round(avg(yhat), 4) AS mean, round(quantile_cont(yhat, 0.5), 4) AS median, round(min(yhat), 4) AS min,

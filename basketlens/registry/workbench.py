@@ -148,19 +148,19 @@ def workbench(spark: SparkSession, sf_dir: str) -> Workbench:
     return _open[key]
 
 
-_queries: dict[str, callable] = {}
-_expected: dict[str, str] = {}
+QUERIES: dict[str, callable] = {}
+EXPECTED_SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     """Register a query over the workbench and, where it can be stated, the SQL of its result."""
 
     def wrap(function):
-        if name in _queries:
+        if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")
-        _queries[name] = lambda spark, sf_dir: function(workbench(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: function(workbench(spark, sf_dir))
         if sql is not None:
-            _expected[name] = sql
+            EXPECTED_SQL[name] = sql
         return function
 
     return wrap
