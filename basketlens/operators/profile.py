@@ -79,6 +79,12 @@ def target_rates(df: DataFrame, label: str = TARGET, by: str = "split") -> DataF
     )
 
 
+def balance(before: DataFrame, after: DataFrame, label: str = TARGET) -> DataFrame:
+    """Class counts and shares before and after oversampling."""
+    sides = [class_distribution(df, label).withColumn("stage", F.lit(n)) for n, df in (("before", before), ("after", after))]
+    return sides[0].unionByName(sides[1]).select("stage", "class", "n", "share")
+
+
 def outlier_counts(df: DataFrame, quantiles: dict[float, float] | None = None) -> DataFrame:
     """How many values each cleaning rule changes."""
     rules = {}

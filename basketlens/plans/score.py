@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlens.functions.risk import closeness, decide, recommendations, risk_level, spend_delta
-from basketlens.functions.whatif import derived_features, resolve_features, with_defaults
+from basketlens.functions.whatif import derived_features, feature_columns, with_defaults
 from basketlens.operators.clustering import centre_distances, nearest_centre
+from basketlens.plans.prepare import Preparation
 from basketlens.plans.train import churn_probability
 from basketlens.sources.artefacts import Bundle
 from basketlens.sources.customers import KEY, TARGET
@@ -80,12 +80,14 @@ def run_scoring(
     return {mode: jobs[mode]() for mode in wanted}
 
 
-def _scenario_features(scenarios: DataFrame, bundle: Bundle, name: str, spend: str, keep: tuple[str, ...]) -> DataFrame:
-    preparation = bundle.preparations[name]
-    derived = derived_features(spend, shared_basket=True)
-    # The medians only serve the churn and segment features; the spend model falls back to 0.
+def _features(preparation: Preparation, spend: str) -> list[Column]:
+    """Model columns of one model as expressions over the entered fields.
+
+    The medians only serve the churn and segment features; the spend model falls
+    back to 0.
+    """
     medians = preparation.medians if spend == "entered" else {}
-    return resolve_features(scenarios, list(preparation.features), derived, medians, keep)
+    return feature_columns(list(preparation.features), derived_features(spend, shared_basket=True), medians)
 
 
 def score_scenarios(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame:
@@ -98,8 +100,8 @@ def score_scenarios(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame
     both = filled.select(
         key,
         "entered_total",
-        F.struct(*_expressions(churn, "entered", churn.medians)).alias("for_churn"),
-        F.struct(*_expressions(spend, "average", {})).alias("for_spend"),
+        F.struct(*_features(churn, "entered")).alias("for_churn"),
+        F.struct(*_features(spend, "average")).alias("for_spend"),
     )
     first = churn.scaler.transform(both.select(key, "entered_total", "for_spend", "for_churn.*"))
     scored = _segments(first, bundle)
@@ -129,35 +131,33 @@ def score_scenarios(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame
     )
 
 
-def _expressions(preparation, spend: str, medians: dict[str, float]) -> list:
-    derived = derived_features(spend, shared_basket=True)
-    return [
-        (derived[f] if f in derived else F.lit(float(medians.get(f, 0.0)))).cast("double").alias(f)
-        for f in preparation.features
-    ]
-
-
 def diagnose(scenarios: DataFrame, bundle: Bundle, key: str) -> DataFrame:
-    """What each stage does with a scenario: raw and scaled means, components, distances, predictions."""
+    """What each model does with a scenario: raw and scaled means, components, distances, predictions."""
     filled = with_defaults(scenarios)
-    preparation = bundle.preparations["preparation"]
-    features = list(preparation.features)
-    raw = _scenario_features(filled, bundle, "preparation", "entered", (key,))
-    before = raw.withColumn("mean_before", sum((F.col(f) for f in features), F.lit(0.0)) / len(features))
-    scaled = preparation.scaler.transform(before)
-    staged = _segments(scaled, bundle)
+    churn, spend = bundle.preparations["preparation"], bundle.preparations["preparation_monetary"]
+    features = list(churn.features)
+    mean = sum((F.col(f) for f in features), F.lit(0.0)) / len(features)
+    both = filled.select(
+        key, F.struct(*_features(churn, "entered")).alias("for_churn"), F.struct(*_features(spend, "average")).alias("for_spend")
+    )
+    before = both.select(key, "for_spend", "for_churn.*").withColumn("mean_before", F.bround(mean, 4))
+    scored = bundle.models["classifier_churn"].transform(_segments(churn.scaler.transform(before), bundle))
     shares = bundle.models["pca"].stages[2].explainedVariance.toArray()
     kept = bundle.models["pca"].stages[3].getIndices()
-    scored = bundle.models["classifier_churn"].transform(staged)
-    return scored.select(
+    shown = scored.select(
         key,
         F.lit(len(features)).alias("features_used"),
-        F.bround("mean_before", 4).alias("mean_before"),
-        F.bround(sum((F.col(f) for f in features), F.lit(0.0)) / len(features), 4).alias("mean_after"),
+        "mean_before",
+        F.bround(mean, 4).alias("mean_after"),
         F.array(*[F.bround(F.col(f), 4) for f in features[:8]]).alias("first_scaled"),
-        F.transform("pca", lambda v: F.bround(v, 4)).alias("components"),
+        F.transform("pca", lambda v: F.bround(v, 4)).alias("pca_scores"),
         F.lit(round(float(sum(shares[i] for i in kept)) * 100, 2)).alias("variance_percent"),
         "segment",
-        F.transform("distances", lambda d: F.bround(d, 4)).alias("distances"),
+        F.transform("distances", lambda d: F.bround(d, 4)).alias("centre_distances"),
         F.bround(vector_to_array("probability")[1], 4).alias("churn_probability"),
+        F.lit(len(spend.features)).alias("spend_features_used"),
+        "for_spend",
     )
+    names = [c for c in shown.columns if c != "for_spend"]
+    predicted = bundle.models["regressor_monetary"].transform(spend.scaler.transform(shown.select(*names, "for_spend.*")))
+    return predicted.select(*names, F.bround("monetary_predicted", 2).alias("monetary_predicted"))

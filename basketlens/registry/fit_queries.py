@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketlens.operators import encode, evaluate, scaling
+from basketlens.operators import encode, evaluate, profile, scaling
 from basketlens.operators.correlation import correlated_columns
 from basketlens.operators.smote import smote
 from basketlens.operators.split import random_split
@@ -186,6 +186,16 @@ def preparation_job(wb):
     return sides[0].unionByName(sides[1]).groupBy("side", TARGET).agg(F.count("*").alias("n"))
 
 
+@query(
+    "pro_balance",
+    f"""WITH {C360}, {SPLIT}, n AS (SELECT Churn AS class, count(*) AS n FROM split WHERE side = 'train' GROUP BY 1)
+    SELECT 'before' AS stage, class, n, round(n / sum(n) OVER (), 6) AS share FROM n
+    UNION ALL SELECT 'after', class, max(n) OVER (), 0.5 FROM n""",
+)
+def balanced_shares(wb):
+    return profile.balance(_train(wb), wb.prepared.train).withColumn("share", F.round("share", 6))
+
+
 _SIDE_CODES = "\nUNION ALL ".join(
     f"SELECT '{c}' AS field, v, (row_number() OVER (ORDER BY v) - 1)::DOUBLE AS code "
     f"FROM (SELECT DISTINCT coalesce({c}, 'Inconnu') AS v FROM split WHERE side = 'train')"

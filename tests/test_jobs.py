@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketlens.operators.select import text_columns
@@ -187,6 +186,7 @@ def test_scenarios(wb, bundle):
     diagnosed = score.diagnose(wb.scenarios, bundle, KEY).first()
     assert diagnosed["features_used"] == len(wb.prepared.preparation.features)
     assert len(diagnosed["first_scaled"]) == min(8, diagnosed["features_used"])
+    assert diagnosed["monetary_predicted"] == {r[KEY]: r["monetary_predicted"] for r in out}[diagnosed[KEY]]
 
 
 def test_report_tables(wb):
