@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketlens.functions.hashing import uniform
 from basketlens.staging import stage
 
-CELL_ROWS = 2048
+CELL_ROWS = 4096
 SAMPLE_ROWS = 20_000
 VISIT_ROWS = 20_000
 MAX_BOX_NUMBERS = 100_000_000  # 800 MB of cell bounds held by the driver and each worker
@@ -175,6 +175,37 @@ def _candidates(found: list[tuple[int, np.ndarray, np.ndarray]], reps: np.ndarra
     )
 
 
+def _visit(visits: DataFrame, placed: DataFrame, k: int, visit_rows: int) -> DataFrame:
+    """Candidates from other cells; a cell with many visitors is copied to several tasks."""
+    spread = visits.groupBy("cell").agg(F.ceil(F.count("*") / visit_rows).cast("int").alias("tasks"))
+    visitors = visits.join(spread, "cell").withColumn("task", F.pmod(F.xxhash64("rep"), "tasks").cast("int"))
+    hosts = placed.join(spread, "cell").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+
+    def search_visits(guests: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        reps = copies = np.array([], dtype=np.int64)
+        if len(guests) and len(residents):
+            residents = residents.sort_values("rep")
+            x, y = _matrix(guests["vec"]), _matrix(residents["vec"])
+            reps, copies = residents["rep"].to_numpy(), residents["copies"].to_numpy()
+            limits, guest_reps = guests["radius"].to_numpy() * SLACK, guests["rep"].to_numpy()
+            step = max(1, BLOCK // len(y))
+            for start in range(0, len(x), step):
+                for offset, d2 in enumerate(_squared(x[start : start + step], y)):
+                    i = start + offset
+                    near = _nearest(d2, k)
+                    near = near[d2[near] <= limits[i]]
+                    found.append((guest_reps[i], near, d2[near]))
+        return _candidates(found, reps, copies)
+
+    return (
+        visitors.select("cell", "task", "rep", "radius", "vec")
+        .groupBy("cell", "task")
+        .cogroup(hosts.select("cell", "task", "rep", "copies", "vec").groupBy("cell", "task"))
+        .applyInPandas(search_visits, "rep long, q_rep long, q_copies long, d2 double")
+    )
+
+
 def nearest_neighbours(
     points: DataFrame, k: int, cell_rows: int = CELL_ROWS, visit_rows: int = VISIT_ROWS
 ) -> tuple[DataFrame, DataFrame]:
@@ -241,36 +272,10 @@ def nearest_neighbours(
     local = first_pass.where(F.col("cell").isNull()).select("rep", "q_rep", "q_copies", "d2")
     visits = first_pass.where(F.col("cell").isNotNull()).select("rep", "cell", "radius", "vec")
 
-    spread = visits.groupBy("cell").agg(F.ceil(F.count("*") / visit_rows).cast("int").alias("tasks"))
-    visitors = visits.join(spread, "cell").withColumn("task", F.pmod(F.xxhash64("rep"), "tasks").cast("int"))
-    hosts = placed.join(spread, "cell").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
-
-    def search_visits(guests: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
-        reps = copies = np.array([], dtype=np.int64)
-        if len(guests) and len(residents):
-            residents = residents.sort_values("rep")
-            x, y = _matrix(guests["vec"]), _matrix(residents["vec"])
-            reps, copies = residents["rep"].to_numpy(), residents["copies"].to_numpy()
-            limits, guest_reps = guests["radius"].to_numpy() * SLACK, guests["rep"].to_numpy()
-            step = max(1, BLOCK // len(y))
-            for start in range(0, len(x), step):
-                for offset, d2 in enumerate(_squared(x[start : start + step], y)):
-                    i = start + offset
-                    near = _nearest(d2, k)
-                    near = near[d2[near] <= limits[i]]
-                    found.append((guest_reps[i], near, d2[near]))
-        return _candidates(found, reps, copies)
-
-    visited = (
-        visitors.select("cell", "task", "rep", "radius", "vec")
-        .groupBy("cell", "task")
-        .cogroup(hosts.select("cell", "task", "rep", "copies", "vec").groupBy("cell", "task"))
-        .applyInPandas(search_visits, "rep long, q_rep long, q_copies long, d2 double")
-    )
+    candidates = local if len(bounds) == 1 else local.unionByName(_visit(visits, placed, k, visit_rows))
 
     in_order = Window.partitionBy("rep").orderBy("d2", "q_rep")
-    kept = local.unionByName(visited).withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k)
+    kept = candidates.withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k)
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     others = (
         kept.withColumn("last", F.sum("q_copies").over(upto))

@@ -13,11 +13,9 @@ from basketlens.operators.select import is_missing
 
 def train_medians(train: DataFrame, columns: list[str], test: DataFrame | None = None) -> dict[str, float]:
     """Exact training median of every column with a gap on either side; a column never present gives none."""
-    gaps: set[str] = set()
-    for side in (train, test):
-        if side is not None:
-            gaps |= {c for c, s in column_stats(side, columns).items() if s.present < s.rows}
-    found = exact_quantiles(train, [c for c in columns if c in gaps], [0.5])
+    rows = train.select(*columns) if test is None else train.select(*columns).unionByName(test.select(*columns))
+    gaps = [c for c, s in column_stats(rows, columns).items() if s.present < s.rows]
+    found = exact_quantiles(train, gaps, [0.5])
     return {c: q[0.5] for c, q in found.items() if q[0.5] is not None}
 
 

@@ -46,21 +46,22 @@ def _present(f: T.StructField) -> Column:
     return F.when(~is_missing(f), F.col(f.name))
 
 
+_CONSTANT = {
+    "present": lambda f: F.count(_present(f)),
+    "single": lambda f: F.coalesce(F.min(_present(f)) == F.max(_present(f)), F.lit(True)),
+}
+
+
+def _is_constant() -> Column:
+    return (F.col("present") == 0) | ((F.col("present") == F.col("rows")) & F.col("single"))
+
+
 def constant_profile(df: DataFrame, exempt: tuple[str, ...] = (TARGET,)) -> DataFrame:
     """(column, is_constant): one distinct value, a missing value counting as one.
 
     The smallest and largest value decide, so no distinct set is built.
     """
-    profile = _per_column(
-        df,
-        {
-            "present": lambda f: F.count(_present(f)),
-            "single": lambda f: F.coalesce(F.min(_present(f)) == F.max(_present(f)), F.lit(True)),
-        },
-        exempt,
-    )
-    constant = (F.col("present") == 0) | ((F.col("present") == F.col("rows")) & F.col("single"))
-    return profile.select("column", constant.alias("is_constant"))
+    return _per_column(df, _CONSTANT, exempt).select("column", _is_constant().alias("is_constant"))
 
 
 def constant_columns(df: DataFrame, exempt: tuple[str, ...] = (TARGET,)) -> list[str]:
@@ -78,6 +79,14 @@ def high_missing_columns(df: DataFrame, threshold: float = 0.5, exempt: tuple[st
     return [r["column"] for r in missing_profile(df, exempt).where(F.col("share") > threshold).collect()]
 
 
+def useless_columns(df: DataFrame, threshold: float = 0.5, exempt: tuple[str, ...] = (TARGET,)) -> tuple[list[str], list[str]]:
+    """Constant columns and columns missing too often, from one aggregate."""
+    share = F.try_divide(F.col("rows") - F.col("present"), F.col("rows"))
+    found = _per_column(df, _CONSTANT, exempt).select("column", _is_constant().alias("c"), (share > threshold).alias("m"))
+    rows = found.collect()
+    return [r["column"] for r in rows if r["c"]], [r["column"] for r in rows if r["m"]]
+
+
 def drop_useless(df: DataFrame, constant: list[str], keep_key: bool = False) -> DataFrame:
     """Drop constant, identifier and leakage columns; the key may stay as metadata."""
     ids = () if keep_key else (KEY,)

@@ -20,11 +20,10 @@ from basketlens.operators.quantiles import exact_quantiles
 from basketlens.operators.scaling import Scaler, fit_scaler, impute, train_medians
 from basketlens.operators.select import (
     align,
-    constant_columns,
     drop_useless,
     guard_features,
-    high_missing_columns,
     text_columns,
+    useless_columns,
 )
 from basketlens.operators.smote import smote
 from basketlens.operators.split import stratified_split
@@ -164,9 +163,8 @@ def prepare(
     seen = table.where(F.col("split") == "train") if fit_scope == "train" else table
     meta = (key, target, "split")
 
-    constant = constant_columns(seen, exempt=meta)
+    constant, sparse = useless_columns(seen, missing_threshold, exempt=meta)
     useful = drop_useless(seen, constant, keep_key=True)
-    sparse = high_missing_columns(useful, missing_threshold, exempt=meta)
     dropped = tuple(c for c in table.columns if c not in useful.columns or c in sparse)
     clip = clip_bounds(seen)
     cleaned = clean(table.drop(*dropped), clip)
