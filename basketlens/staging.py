@@ -7,25 +7,21 @@ the scan, and a lost executor costs a re-read instead of the whole lineage.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on ``local[...]``."""
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse.
+
+    Both are shared by the driver and the executors of a cluster; the master plays no part.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-        _local_roots[app] = tempfile.mkdtemp(prefix="basketlens-")
-    return _local_roots[app]
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.staged"
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
@@ -38,9 +34,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/basketlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def stage_path(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """Write ``df`` once; the written table and its folder."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once and return the written table."""
+    return stage_path(df, name, partition_by)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete staged tables that no result reads any more."""
+    root = f"{checkpoint_root(spark)}/basketlens/"
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"{path} is not a staged table of this session")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
