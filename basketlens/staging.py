@@ -20,7 +20,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.staged"
-        spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
