@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm.common import table
+from basketlens.llm.exact_dedup import exact_duplicates
+from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.near_dedup import near_duplicates
 
 QUERIES: dict[str, callable] = {}
@@ -21,6 +23,51 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+#: [\x20\x09-\x0D] and the ASCII letters, for DuckDB.
+SQL_BLANKS = "(chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+def sql_lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op3_line_dedup",
+    f"""
+    WITH lines AS (
+        SELECT doc_id, row, pos, line, {sql_lower(f"trim(line, {SQL_BLANKS})")} AS key
+        FROM (SELECT doc_id, row, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+              FROM (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+    ), shared AS (
+        SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+    ), judged AS (
+        SELECT l.*, coalesce(l.doc_id <> s.first, false) AS gone FROM lines l LEFT JOIN shared s USING (key)
+    )
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id, row
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+
+
+@query(
+    "op9_exact_dedup",
+    f"""
+    WITH d AS (SELECT doc_id, {sql_lower("coalesce(text, '')")} AS t FROM documents),
+    g AS (SELECT t, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
+    )
+
+
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
