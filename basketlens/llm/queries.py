@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketlens.llm.common import table
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.line_dedup import deduplicate_lines
+from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
+from basketlens.llm.url_filter import RULES, judge_urls
 
 QUERIES: dict[str, callable] = {}
 EXPECTED_SQL: dict[str, str] = {}
@@ -31,6 +33,32 @@ def sql_lower(text: str) -> str:
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _sql_rules() -> str:
+    text = lambda value: "'" + value.replace("'", "''") + "'"
+    return ", ".join(f"({text(r.name)}, {text(r.regex)}, {text(r.verdict)}, {r.rank})" for r in RULES)
+
+
+@query(
+    "op1_url_filter",
+    f"""
+    WITH rules(name, regex, rule_verdict, rank) AS (VALUES {_sql_rules()}),
+    rest AS (SELECT row_number() OVER () AS row, page_id,
+                    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    urls AS (SELECT row, page_id, {sql_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+                    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    fits AS (SELECT row, row_number() OVER (PARTITION BY row ORDER BY rank DESC,
+                    CASE WHEN rank = 1 THEN length(name) ELSE (rule_verdict = 'block')::INT END DESC, name DESC) AS place,
+                    name, rule_verdict, rank
+             FROM urls JOIN rules ON regexp_matches(host || path, regex))
+    SELECT page_id, host, path, CASE WHEN rank = 1 THEN name END AS rule, coalesce(rule_verdict, 'allow') AS verdict
+    FROM urls LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judge_urls(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 @query(
     "op3_line_dedup",
     f"""
@@ -53,6 +81,62 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
 
 
+def _sql_quotas(votes: str, blocks: str, keys: str, within: str) -> str:
+    """Blocks by highest quotients, every quotient listed."""
+    part = f"PARTITION BY {within}" if within else ""
+    return f"""
+        SELECT {keys}, count(*)::BIGINT AS quota
+        FROM (SELECT *, row_number() OVER ({part} ORDER BY votes / (2 * k + 1) DESC, {keys} NULLS LAST) AS place
+              FROM (SELECT *, unnest(generate_series(0, ceil(votes / sum(votes) OVER ({part}) * blocks)::BIGINT + 25)) AS k
+                    FROM (SELECT *, {votes}::DOUBLE AS votes, {blocks} AS blocks FROM seats) WHERE votes > 0))
+        WHERE place <= blocks GROUP BY {keys}"""
+
+
+@query(
+    "op4_mix_sources",
+    f"""
+    WITH d AS (SELECT doc_id, source,
+                      CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END::BIGINT AS size
+               FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROUP BY source),
+    w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+                 source_size * 2.0::DOUBLE AS lim FROM s),
+    l AS (SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE * 1.5
+                     - coalesce(sum(lim) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                    / sum(weight) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM w),
+    t AS (SELECT source, source_size, greatest(ceil(source_size / 4194304.0), ceil(n / 262144.0), 1)::BIGINT AS shards,
+                 least(lim, coalesce((SELECT arg_min(level, lim / weight) FROM l WHERE level * weight <= lim) * weight, lim)) AS target
+          FROM l),
+    q AS (WITH seats AS (SELECT source, target, (SELECT floor(sum(target) / 32 + 0.5) FROM t)::BIGINT AS total FROM t)
+          {_sql_quotas("target", "total", "source", "")}),
+    p AS (SELECT d.*, t.source_size, t.target,
+                 ('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, '-')), 1, 8))::BIGINT % shards AS shard,
+                 md5('21:' || coalesce(doc_id::VARCHAR, '-')) AS draw
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    z AS (SELECT source, shard, sum(size)::BIGINT AS shard_size FROM p GROUP BY source, shard),
+    y AS (WITH seats AS (SELECT z.*, q.quota AS total FROM z JOIN q ON z.source IS NOT DISTINCT FROM q.source)
+          {_sql_quotas("shard_size", "total", "source, shard", "source")}),
+    r AS (SELECT p.*, sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop,
+                 ceil(shard_size / 32.0)::BIGINT AS n,
+                 least(coalesce(y.quota, 0), 2 * ceil(shard_size / 32.0)::BIGINT) AS quota
+          FROM p JOIN z ON p.source IS NOT DISTINCT FROM z.source AND p.shard = z.shard
+          LEFT JOIN y ON p.source IS NOT DISTINCT FROM y.source AND p.shard = y.shard),
+    a AS (SELECT *, CASE WHEN n > 0 THEN quota // n ELSE 0 END AS passes,
+                 CASE WHEN n > 0 THEN ('0x' || substr(md5('22:' || coalesce(source, '-') || ':' || shard), 1, 8))::BIGINT % n ELSE 0 END AS first
+          FROM r)
+    SELECT doc_id, size, source_size, target,
+           (passes * size
+            + greatest(least(stop, least(first + quota - passes * n, n) * 32) - greatest(stop - size, first * 32), 0)
+            + greatest(least(stop, greatest(first + quota - passes * n - n, 0) * 32) - (stop - size), 0))::BIGINT AS taken
+    FROM a
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix_sources(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 @query(
     "op9_exact_dedup",
     f"""
