@@ -10,6 +10,7 @@ from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.url_filter import RULES, judge_urls
+from basketlens.llm.warc import BASE32, archive_round_trip
 
 QUERIES: dict[str, callable] = {}
 EXPECTED_SQL: dict[str, str] = {}
@@ -137,6 +138,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query(
+    "op6_warc_round_trip",
+    f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+    x AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS digits, first FROM p JOIN f USING (h))
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(generate_series(0, 31), lambda i: substr('{BASE32}',
+               (((('0x' || substr(digits, ((i // 4) * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM x
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_round_trip(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(
     "op9_exact_dedup",
     f"""
