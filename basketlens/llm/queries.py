@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm.common import table
 from basketlens.llm.exact_dedup import exact_duplicates
+from basketlens.llm.lang_id import detect_languages, held_out, learn_languages
 from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
@@ -60,6 +61,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = learn_languages(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
+    found = detect_languages(docs.select("doc_id", "text"), learned).select("other.doc_id", "lang_pred", "score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query(
     "op3_line_dedup",
     f"""
