@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm.common import table
+from basketlens.llm.decontaminate import contaminated_passages
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.lang_id import detect_languages, held_out, learn_languages
 from basketlens.llm.line_dedup import deduplicate_lines
@@ -147,6 +148,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "score", "start", "end")
+
+
 @query(
     "op6_warc_round_trip",
     f"""
