@@ -121,5 +121,14 @@ def distinct_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return sets
 
 
+#: Ids up to this number (16 MB as longs) are broadcast, more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``id`` is in ``ids``, a written table of distinct ids."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))

@@ -243,4 +243,4 @@ def contaminated_passages(
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document holds no passage of ``benchmark``; all columns stay."""
     found = stage(contaminated_passages(docs, benchmark, id_col, **options).select("id").distinct(), "leak-found")
-    return docs.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col("id")), "left_anti")
+    return docs.alias("d").join(found.alias("f"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.id")), "left_anti")
