@@ -9,7 +9,8 @@
 4. Components by alternating large-star and small-star. Members of a bucket that are still
    in different components are compared block by block on signatures inside the tasks, and
    what passes is confirmed on full sets, so no link between different sets is lost to the
-   star. Blocks are ordered by component: blocks of one component are never compared.
+   star. Members are dealt to blocks by component: two blocks of one component are never
+   compared.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from basketlens.staging import stage
 _U = np.uint64
 #: Members of a bucket compared at a time; bounds the memory of a task.
 BLOCK = 512
+#: Places of the signatures for that comparison, and how many of them are looked at first.
+LONG, FEW = 1024, 128
 
 
 def _minima(sets: list[np.ndarray], hashes: int) -> np.ndarray:
@@ -135,23 +138,47 @@ def _agreeing(least: int):
     return run
 
 
-def _cross(least: int):
-    """Pairs of two blocks that lie in different components and whose signatures agree."""
+def _lengthen(hashes: int):
+    """Longer signatures for the few documents that are compared block by block."""
+
+    def run(batches):
+        for piece in pieces(batches, "members"):
+            sets = [np.frombuffer(x.as_buffer(), dtype=_U) for x in piece.column(1)]
+            short = (_minima(sets, hashes) & 0xFF).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array([x.tobytes() for x in short], pa.binary())], names=["id", "signature"]
+            )
+
+    return run
+
+
+def _cross(percent: int, hashes: int):
+    """Pairs of two blocks that lie in different components and whose signatures agree.
+
+    A pair that shares several buckets is reported in the first of them only.
+    """
+    few = min(FEW, hashes)
+    least_few, least = _least(percent, few), _least(percent, hashes)
+
+    def side(ids, comps, sigs, buckets):
+        wide = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(ids), -1)
+        return np.array(ids), np.array(comps), wide, np.array(buckets)
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                sides = []
-                for ids, comps, sigs in ((row["ids"], row["comps"], row["sigs"]), (row["ids2"], row["comps2"], row["sigs2"])):
-                    sides.append((np.array(ids), np.array(comps), np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(ids), -1)))
-                (ids, comps, sigs), (ids2, comps2, sigs2) = sides
+                ids, comps, sigs, buckets = side(row["ids"], row["comps"], row["sigs"], row["buckets"])
+                ids2, comps2, sigs2, buckets2 = side(row["ids2"], row["comps2"], row["sigs2"], row["buckets2"])
                 u, v = [], []
                 for i in range(len(ids)):
                     other = comps2 != comps[i]
                     if row["same"]:
                         other[: i + 1] = False
                     near = np.flatnonzero(other)
+                    near = near[(sigs2[near, :few] == sigs[i, :few]).sum(axis=1) >= least_few]
                     near = near[(sigs2[near] == sigs[i]).sum(axis=1) >= least]
+                    first = (buckets2[near] == buckets[i]).argmax(axis=1)
+                    near = near[buckets[i][first] == row["bucket"]]
                     u += [int(ids[i])] * len(near)
                     v += ids2[near].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
@@ -159,6 +186,12 @@ def _cross(least: int):
     return run
 
 
+def _least(percent: int, hashes: int) -> int:
+    """Agreeing places that a pair at the threshold reaches but for five standard deviations."""
+    share = percent / 100
+    return max(0, int((share - 5 * sqrt(share * (1 - share) / hashes)) * hashes))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -208,7 +241,7 @@ def near_duplicates(
     candidates = members.select("id").distinct()
     signatures = stage(
         linkable.join(classes.select(F.col("rep").alias("id"), "high", "low"), ["id", "high", "low"])
-        .select("id", "signature")
+        .select("id", "signature", "buckets")
         .dropDuplicates(["id"])
         .join(candidates, "id", "left_semi"),
         "near-candidates",
@@ -220,8 +253,7 @@ def near_duplicates(
         "near-sets",
     )
 
-    share = percent / 100
-    least = int((share - 5 * sqrt(share * (1 - share) / hashes)) * hashes)
+    least = _least(percent, hashes)
 
     def attach(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
         left = values.select(F.col("id").alias("u"), F.col(column).alias("a"))
@@ -260,8 +292,11 @@ def near_duplicates(
         .where("low < high")
         .select("bucket")
     )
-    labelled = labelled.join(mixed, "bucket", "left_semi")
-    rest = _residual_pairs(labelled, signatures, least)
+    labelled = stage(labelled.join(mixed, "bucket", "left_semi"), "near-mixed")
+    again = labelled.select("id").distinct()
+    longer = map_batches(sets.join(again, "id", "left_semi"), _lengthen(LONG), "id long, signature binary")
+    longer = stage(longer.join(signatures.select("id", "buckets"), "id"), "near-long")
+    rest = _residual_pairs(labelled, longer, percent)
     more = confirmed(rest, "near-links")
     parts = connected_components(parts.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
 
@@ -280,7 +315,7 @@ def near_duplicates(
     )
 
 
-def _residual_pairs(labelled: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
+def _residual_pairs(labelled: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """(u, v) of one bucket and different components whose signatures agree.
 
     Members are dealt to blocks by hashes and counts, so a block holds about BLOCK / 2
@@ -300,6 +335,7 @@ def _residual_pairs(labelled: DataFrame, signatures: DataFrame, least: int) -> D
             "id",
             "component",
             "signature",
+            "buckets",
             # Small components share blocks, a large one has its own.
             F.when(F.col("own") == 1, F.xxhash64(F.pmod(F.xxhash64("component"), F.col("blocks"))))
             .otherwise(F.xxhash64("component", F.pmod(F.xxhash64("id"), F.col("own"))))
@@ -310,17 +346,18 @@ def _residual_pairs(labelled: DataFrame, signatures: DataFrame, least: int) -> D
             F.collect_list("id").alias("ids"),
             F.collect_list("component").alias("comps"),
             F.collect_list("signature").alias("sigs"),
+            F.collect_list("buckets").alias("buckets"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
     )
     placed = stage(placed, "near-blocks")
-    other = placed.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("block", "ids", "comps", "sigs", "low", "high")])
+    other = placed.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("block", "ids", "comps", "sigs", "buckets", "low", "high")])
     pure = (F.col("low") == F.col("high")) & (F.col("low2") == F.col("high2")) & (F.col("low") == F.col("low2"))
     pairs = (
         placed.join(other, "bucket")
         .where((F.col("block") <= F.col("block2")) & ~pure)
-        .select("ids", "comps", "sigs", "ids2", "comps2", "sigs2", (F.col("block") == F.col("block2")).alias("same"))
+        .select("bucket", "ids", "comps", "sigs", "buckets", "ids2", "comps2", "sigs2", "buckets2", (F.col("block") == F.col("block2")).alias("same"))
     )
-    pairs = map_batches(pairs, _cross(least), "u long, v long")
+    pairs = map_batches(pairs, _cross(percent, LONG), "u long, v long")
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
