@@ -11,6 +11,7 @@ from basketlens.llm.lang_id import detect_languages, held_out, learn_languages
 from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
+from basketlens.llm.pii import personal_data
 from basketlens.llm.substring import repeated_passages
 from basketlens.llm.url_filter import RULES, judge_urls
 from basketlens.llm.warc import BASE32, archive_round_trip
@@ -174,6 +175,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_personal_data")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages(table(spark, sf_dir, "documents"))
