@@ -130,5 +130,11 @@ def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
+def without_rows(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (id), a written table of distinct ids; null equals null."""
+    gone = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.id")), "left_anti")
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))

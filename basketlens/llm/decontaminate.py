@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from basketlens.llm.bits import fill, places
-from basketlens.llm.common import mix, odd_numbers, pieces
+from basketlens.llm.common import mix, odd_numbers, pieces, without_rows
 from basketlens.shipping import map_batches
 from basketlens.staging import stage
 
@@ -243,4 +243,4 @@ def contaminated_passages(
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document holds no passage of ``benchmark``; all columns stay."""
     found = stage(contaminated_passages(docs, benchmark, id_col, **options).select("id").distinct(), "leak-found")
-    return docs.alias("d").join(found.alias("f"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.id")), "left_anti")
+    return without_rows(docs, found, id_col)
