@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from basketlens.llm.common import distinct_sets, mix, odd_numbers, pieces, signed
+from basketlens.llm.common import distinct_sets, mix, odd_numbers, pieces, rows_of, signed
 from basketlens.llm.components import connected_components
 from basketlens.shipping import map_batches
 from basketlens.staging import stage
@@ -227,7 +227,7 @@ def near_duplicates(
     # One row per class: the class's smallest id with its buckets and signature.
     reps = (
         linkable.join(classes.withColumnRenamed("rep", "id"), ["high", "low", "id"])
-        .dropDuplicates(["high", "low"])
+        .dropDuplicates(["high", "low", "id"])
         .select("id", "signature", "buckets")
     )
     banded = stage(reps.select("id", F.explode("buckets").alias("bucket")), "near-bands")
@@ -238,18 +238,16 @@ def near_duplicates(
         .select("bucket", "centre")
     )
     members = stage(banded.join(shared, "bucket"), "near-members")
-    candidates = members.select("id").distinct()
+    candidates = stage(members.select("id").distinct(), "near-ids")
     signatures = stage(
         linkable.join(classes.select(F.col("rep").alias("id"), "high", "low"), ["id", "high", "low"])
+        .dropDuplicates(["id", "high", "low"])
         .select("id", "signature", "buckets")
-        .dropDuplicates(["id"])
         .join(candidates, "id", "left_semi"),
         "near-candidates",
     )
     sets = stage(
-        map_batches(
-            source.where("id is not null").join(candidates, "id", "left_semi"), _sets(words), "id long, members binary"
-        ),
+        map_batches(rows_of(source.where("id is not null"), candidates), _sets(words), "id long, members binary"),
         "near-sets",
     )
 
@@ -267,18 +265,9 @@ def near_duplicates(
     stars = map_batches(attach(stars, signatures, "signature"), _agreeing(least), "u long, v long")
     links = confirmed(stars, "near-links")
     # Rows of one document id with different texts tie their classes together.
-    ties = (
-        linkable.join(classes, ["high", "low"])
-        .where("id <> rep")
-        .groupBy("id")
-        .agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
-    )
-    tied = (
-        linkable.join(classes, ["high", "low"])
-        .join(ties.where("least < most or least = id").select("id"), "id", "left_semi")
-        .select(F.col("id").alias("u"), F.col("rep").alias("v"))
-        .where("u <> v")
-    )
+    named = linkable.select("id", "high", "low").join(classes, ["high", "low"]).select("id", "rep")
+    several = named.groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
+    tied = named.where("id <> rep").join(several.select("id"), "id", "left_semi").select(F.col("id").alias("u"), F.col("rep").alias("v"))
     links = links.union(tied)
     parts = stage(connected_components(links), "near-parts")
 
