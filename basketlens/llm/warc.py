@@ -386,11 +386,12 @@ def reachable(nodes: DataFrame) -> DataFrame:
     logarithm of the number of nodes in a file.
     """
     jumps = stage(nodes.select("file", "start", "out"), "warc-jumps")
+    places = jumps.select("file", "start")
     known = stage(jumps.where("start = 0").select("file", "start").distinct(), "warc-known")
     n = known.count()
     while True:
         step = known.join(jumps, ["file", "start"]).select("file", F.col("out").alias("start"))
-        step = step.join(jumps.select("file", "start"), ["file", "start"], "left_semi")
+        step = step.join(places, ["file", "start"], "left_semi")
         known = stage(known.union(step).distinct(), "warc-known")
         total = known.count()
         if total == n:
