@@ -44,7 +44,48 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.withColumn("_draw", draw(f"sample{seed}", key)).orderBy("_draw", key).limit(n).drop("_draw")
 
 
-def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample_size: int = 1000, seed: int = 42) -> DataFrame:
+def silhouette(df: DataFrame, vector: str, cluster: str) -> DataFrame:
+    """Mean silhouette of every row with squared Euclidean distances: (clusters, n, silhouette).
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, sum and
+    sum of squares: one aggregation and one pass, no pair of rows is compared. Rows alone in
+    their cluster count 0; fewer than two clusters have none.
+    """
+    rows = df.select(F.col(vector).alias("x"), F.col(cluster).cast("int").alias("c"))
+    norm = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    sizes = rows.groupBy("c").agg(F.count("*").alias("n"), F.sum(norm).alias("q"))
+    sums = rows.select("c", F.posexplode("x").alias("i", "v")).groupBy("c", "i").agg(F.sum("v").alias("s"))
+    sums = sums.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda e: e["s"]).alias("s"))
+    # One row per cluster, as with the centres themselves.
+    stats = sizes.join(sums, "c").orderBy("c").collect()
+
+    def mean_distance(k) -> Column:
+        mean = F.lit([v / k["n"] for v in k["s"]])
+        dot = F.aggregate(F.zip_with("x", mean, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+        return F.greatest(F.col("norm") - 2 * dot + F.lit(k["q"] / k["n"]), F.lit(0.0))
+
+    distances = F.array(*[mean_distance(k) for k in stats]) if stats else F.lit(None).cast("array<double>")
+    numbers, counts = ([k[f] for k in stats] for f in ("c", "n"))
+    place = F.array_position(F.lit(numbers), F.col("c")).cast("int") - 1 if stats else F.lit(0)
+    measured = rows.withColumn("norm", norm).withColumn("d", distances).withColumn("place", place)
+    n = F.get(F.lit(counts), F.col("place")) if stats else F.lit(0)
+    measured = measured.select(
+        n.alias("n"),
+        (F.get("d", F.col("place")) * n / F.greatest(n - 1, F.lit(1))).alias("inner"),
+        F.array_min(F.filter("d", lambda _, i: i != F.col("place"))).alias("outer"),
+    )
+    larger = F.greatest("inner", "outer")
+    width = F.when((F.col("n") > 1) & (larger > 0), (F.col("outer") - F.col("inner")) / larger).otherwise(0.0)
+    return measured.agg(
+        F.lit(len(stats)).alias("clusters"),
+        F.count("*").alias("n"),
+        (F.avg(width) if len(stats) > 1 else F.lit(None).cast("double")).alias("silhouette"),
+    )
+
+
+def sampled_silhouette(
+    df: DataFrame, key: str, vector: str, cluster: str, sample_size: int, seed: int = 42
+) -> DataFrame:
     """Mean Euclidean silhouette of a sample: (clusters, n, silhouette).
 
     The sample (at most ``sample_size`` rows, a fixed bound) is shared with the

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlens.functions.hashing import uniform
+from basketlens.operators.ordering import running_totals
+from basketlens.shipping import ship
 from basketlens.staging import stage
 
 CELL_ROWS = 4096
@@ -209,17 +211,19 @@ def _visit(visits: DataFrame, placed: DataFrame, k: int, visit_rows: int) -> Dat
 def nearest_neighbours(
     points: DataFrame, k: int, cell_rows: int = CELL_ROWS, visit_rows: int = VISIT_ROWS
 ) -> tuple[DataFrame, DataFrame]:
-    """k nearest other rows of every row of ``points(key, vec)``, Euclidean, ties by smaller key.
+    """k nearest other rows of every row of ``points(key, vec[, copies])``, Euclidean, ties by smaller key.
 
-    Returns ``(distinct, neighbours)``: ``distinct(rep, copies, vec)`` with the
-    smallest key of each group of identical vectors, and
-    ``neighbours(rep, rank, distance, neighbour)`` with the vector at every rank.
+    Returns ``(distinct, neighbours)``: ``distinct(rep, copies, vec)`` numbers the distinct
+    vectors in the order of their smallest key (of any type, repeated or missing), and
+    ``neighbours(rep, rank, distance, neighbour)`` has the vector at every rank. A
+    ``copies`` column counts rows that were combined before.
     """
+    ship(points.sparkSession)
+    copies = F.sum("copies") if "copies" in points.columns else F.count("*")
+    combined = points.groupBy("vec").agg(F.min("key").alias("key"), copies.alias("copies"))
+    combined = combined.withColumn("one", F.lit(1).cast("long")).withColumn("vid", F.md5(F.col("vec").cast("string")))
     distinct = stage(
-        points.groupBy("vec").agg(F.min("key").cast("long").alias("rep"), F.count("*").alias("copies")).select(
-            "rep", "copies", "vec"
-        ),
-        "vectors",
+        running_totals(combined, [F.col("key"), F.col("vid")], {"rep": "one"}).select("rep", "copies", "vec"), "vectors"
     )
     first = distinct.select(F.size("vec").alias("d")).first()
     if first is None:

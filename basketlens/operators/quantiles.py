@@ -5,6 +5,10 @@ scan, partial aggregation, at most ``BUCKETS`` rows per bracket) and keeps the o
 bucket that holds the wanted rank. A bracket whose rows are few is finished by
 fetching its distinct values, so no task or driver holds more than a fixed number
 of rows however long the table is.
+
+Infinities get buckets of their own, positions are computed on halved bounds where a
+range overflows, and a bracket that equal widths hardly narrow (values of very different
+magnitude) is cut by sign and then by exponent. Every round must leave something out.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlens.operators.columns import column_stats, present
 
@@ -29,17 +33,40 @@ class _Bracket:
     high: float
     rows: int
     value: float | None = None
-
-
-def _bracket_rows(df: DataFrame, spans: list[tuple[str, float, float]], bucket: bool) -> DataFrame:
+    by_magnitude: bool = False
+
+    @property
+    def span(self) -> tuple[str, float, float, bool]:
+        return self.column, self.low, self.high, self.by_magnitude
+
+
+def _position(value: Column, low: float, high: float, by_magnitude: bool) -> Column:
+    """Bucket of a value of the bracket; low and high never share one."""
+    if math.isinf(low) or math.isinf(high):
+        return F.when(value == F.lit(low), 0).when(value == F.lit(high), 2).otherwise(1)
+    if by_magnitude and low <= 0.0 <= high:
+        return F.when(value < 0, 0).when(value == 0, 1).otherwise(2)
+    if by_magnitude:
+        first, last = (math.log2(abs(x)) for x in (low, high))
+        if first != last:
+            place = (F.log2(F.abs(value)) - F.lit(first)) / F.lit(last - first) * BUCKETS
+            # The library's logarithm may differ from Python's in the last digit at the ends.
+            inner = F.greatest(F.least(F.floor(place), F.lit(BUCKETS - 1)), F.lit(0))
+            return F.when(value == F.lit(low), 0).when(value == F.lit(high), BUCKETS - 1).otherwise(inner)
+    half = 0.5 if math.isinf(high - low) else 1.0
+    place = (value * F.lit(half) - F.lit(low * half)) / F.lit(high * half - low * half) * BUCKETS
+    return F.least(F.floor(place), F.lit(BUCKETS - 1))
+
+
+def _bracket_rows(df: DataFrame, spans: list[tuple[str, float, float, bool]], bucket: bool) -> DataFrame:
     """(span, value[, bucket]) rows of every span, from one scan."""
     entries = []
-    for i, (column, low, high) in enumerate(spans):
+    for i, (column, low, high, by_magnitude) in enumerate(spans):
         value = present(column)
-        fields = [F.lit(i).alias("span"), F.when(value.between(low, high), value).alias("v")]
+        inside = value.between(F.lit(low), F.lit(high))
+        fields = [F.lit(i).alias("span"), F.when(inside, value).alias("v")]
         if bucket:
-            position = F.floor((value - low) / (high - low) * BUCKETS)
-            fields.append(F.least(F.when(value.between(low, high), position), F.lit(BUCKETS - 1)).alias("bucket"))
+            fields.append(F.when(inside, _position(value, low, high, by_magnitude).cast("long")).alias("bucket"))
         entries.append(F.struct(*fields))
     return df.select(F.inline(F.array(*entries))).where(F.col("v").isNotNull())
 
@@ -54,6 +81,10 @@ def _at(counted: list[tuple[float, int]], rank: int) -> float:
 
 
 def _interpolate(low: float, high: float, fraction: float) -> float:
+    if low == high or fraction == 0.0:
+        return low
+    if math.isinf(high - low) and not math.isinf(low) and not math.isinf(high):
+        return low * (1 - fraction) + high * fraction
     return low + (high - low) * fraction
 
 
@@ -89,8 +120,8 @@ def exact_quantiles(
     }
 
 
-def _spans(brackets: list[_Bracket]) -> tuple[list[tuple[str, float, float]], dict[tuple[str, float, float], int]]:
-    spans = list(dict.fromkeys((b.column, b.low, b.high) for b in brackets))
+def _spans(brackets: list[_Bracket]) -> tuple[list[tuple[str, float, float, bool]], dict[tuple, int]]:
+    spans = list(dict.fromkeys(b.span for b in brackets))
     return spans, {s: i for i, s in enumerate(spans)}
 
 
@@ -102,7 +133,7 @@ def _finish(df: DataFrame, brackets: list[_Bracket]) -> None:
     for values in counted.values():
         values.sort()
     for b in brackets:
-        values = counted[index[b.column, b.low, b.high]]
+        values = counted[index[b.span]]
         b.value = _interpolate(_at(values, b.rank), _at(values, b.rank + 1), b.fraction)
 
 
@@ -115,7 +146,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     for rows in buckets.values():
         rows.sort(key=lambda r: r["bucket"])
     for b in brackets:
-        rows = buckets[index[b.column, b.low, b.high]]
+        rows = buckets[index[b.span]]
         before = 0
         for i, row in enumerate(rows):
             inside = b.rank - before
@@ -127,4 +158,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
             upper = rows[i + 1]["lo"] if i + 1 < len(rows) else row["hi"]
             b.value = _interpolate(row["hi"], upper, b.fraction)
         else:
+            if row["n"] == b.rows:
+                raise ArithmeticError(f"quantiles of {b.column}: no bucket of [{b.low}, {b.high}] leaves a row out")
+            b.by_magnitude = b.by_magnitude or row["n"] > b.rows * 0.9
             b.rank, b.low, b.high, b.rows = inside, row["lo"], row["hi"], row["n"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlens.operators.columns import column_stats
 from basketlens.operators.quantiles import exact_quantiles
@@ -19,6 +19,15 @@ def train_medians(train: DataFrame, columns: list[str], test: DataFrame | None =
     return {c: q[0.5] for c, q in found.items() if q[0.5] is not None}
 
 
+def fill_medians(train: DataFrame, columns: list[str], known: dict[str, float]) -> dict[str, float]:
+    """``known`` with the training median of every other column, 0 for one never present.
+
+    Rows that are scored later may have gaps where neither side of the split had any.
+    """
+    rest = [c for c in columns if c not in known]
+    return known | {c: q[0.5] if q[0.5] is not None else 0.0 for c, q in exact_quantiles(train, rest, [0.5]).items()}
+
+
 def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     fields = {f.name: f for f in df.schema}
     return df.select(
@@ -72,20 +81,14 @@ def cell_means(before: DataFrame, after: DataFrame, columns: list[str]) -> DataF
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weight n / (classes x class rows) per class."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.sum("n").alias("total"), F.count("*").alias("classes")).first()
-    return counts.select(
-        F.col(label).alias("class"),
-        "n",
-        (F.lit(totals["total"]) / (F.lit(totals["classes"]) * F.col("n"))).alias("weight"),
-    )
+    """Balanced weight n / (classes x class rows) per class; a missing class is a class of its own."""
+    counts = df.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
+    every = Window.partitionBy()
+    return counts.select("class", "n", (F.sum("n").over(every) / (F.count("*").over(every) * F.col("n"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str, column: str = "weight") -> DataFrame:
-    """Attach the balanced weight of the row's class (a literal per class of the label)."""
-    weight = None
-    for r in class_weights(df, label).collect():
-        match = F.col(label) == F.lit(r["class"])
-        weight = F.when(match, r["weight"]) if weight is None else weight.when(match, r["weight"])
-    return df.withColumn(column, weight)
+    """Attach the balanced weight of the row's class, by a join on the class."""
+    weights = class_weights(df, label).select(F.col("class").alias("_class"), F.col("weight").alias("_weight"))
+    joined = df.join(weights, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
+    return joined.select(*df.columns, F.col("_weight").alias(column))

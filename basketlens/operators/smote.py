@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlens.functions.hashing import draw, uniform
 from basketlens.operators.neighbours import CELL_ROWS, nearest_neighbours
-from basketlens.operators.split import MAX_STRATA, smallest_draw_cuts
+from basketlens.operators.ordering import running_totals
+from basketlens.operators.split import smallest_draw_cuts
 from basketlens.staging import stage
 
 
@@ -27,15 +28,16 @@ def smote(
     the parents (the rest in draw order); the neighbour's rank and the place
     between the two rows are draws of (parent, copy). ``categorical`` columns hold
     codes: they take the code of the nearer of the two rows instead of a value
-    between two codes.
+    between two codes. Keys may be text and may repeat: the synthetic rows of a key's
+    later rows count on, so (key, copy) is unique among them. Rows without a class are
+    passed through and make no class.
     """
-    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()}
-    if len(counts) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} classes")
-    largest = max(counts.values())
+    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).toLocalIterator()}
+    known = {value: n for value, n in counts.items() if value is not None}
+    largest = max(known.values(), default=0)
     numbers = [F.col(c).cast("double").alias(c) for c in features]
     out = train.select(key, F.lit(0).alias("copy"), label, *numbers)
-    for value, rows in sorted(counts.items()):
+    for value, rows in sorted(known.items()):
         if rows < largest:
             made = _synthetic(
                 train, value, rows, largest - rows, features, label, key, k, seed, cell_rows, categorical
@@ -44,25 +46,40 @@ def smote(
     return out
 
 
+def _repeat(df: DataFrame, times: Column, name: str, chunk: int = 10_000) -> DataFrame:
+    """Every row ``times`` times with ``name`` from 0; long repeats are dealt over many rows first."""
+    parts = F.sequence(F.lit(0), F.floor((times - 1) / chunk).cast("int"))
+    dealt = df.withColumn("_part", F.explode(parts)).withColumn("_times", times)
+    inside = F.sequence(F.lit(0), F.least(F.col("_times") - F.col("_part") * chunk, F.lit(chunk)).cast("int") - 1)
+    return dealt.withColumn("_at", F.explode(inside)).withColumn(name, F.col("_part") * chunk + F.col("_at")).drop("_part", "_times", "_at")
+
+
 def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_rows, categorical) -> DataFrame:
     if rows < 2:
         raise ValueError(f"class {value!r} has a single row: no neighbour to interpolate to")
     k = min(k, rows - 1)
-    members = stage(
-        train.where(F.col(label) == F.lit(value)).select(
-            F.col(key).alias("key"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec")
-        ),
-        "minority",
+    members = train.where(F.col(label) == F.lit(value)).select(
+        F.col(key).alias("key"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec")
+    )
+    # Rows of one key are numbered by their vectors, so every row has a draw of its own.
+    groups = members.groupBy("key", "vec").agg(F.count("*").alias("copies")).withColumn("vid", F.md5(F.col("vec").cast("string")))
+    named = F.coalesce(F.col("key").cast("string"), F.lit("-"))
+    groups = stage(
+        running_totals(groups.withColumn("of", named), [F.col("vid")], {"upto": "copies"}, groups=("of",)), "minority"
     )
+    numbered = _repeat(groups.withColumn("before", F.col("upto") - F.col("copies")), F.col("copies"), "offset")
+    numbered = numbered.withColumn("index", F.col("before") + F.col("offset")).select("key", "vec", "vid", "index")
+    first = draw(f"smote{seed}", F.coalesce(F.col("key").cast("string"), F.lit("-")))
+    later = draw(f"smote{seed}", F.coalesce(F.col("key").cast("string"), F.lit("-")), F.col("index"))
+    numbered = stage(numbered.withColumn("ticket", F.when(F.col("index") == 0, first).otherwise(later)), "minority")
     each, rest = divmod(wanted, rows)
-    ticket = draw(f"smote{seed}", "key")
-    cut = smallest_draw_cuts(members.select(F.lit("all").alias("stratum"), ticket.alias("draw")), {"all": (rest, rows)})
-    distinct, neighbours = nearest_neighbours(members, k, cell_rows)
-    parents = (
-        members.withColumn("copies", F.lit(each) + (ticket <= F.lit(cut["all"])).cast("int"))
-        .where(F.col("copies") > 0)
-        .join(distinct.select("rep", F.col("vec").alias("_vec")), F.col("vec") == F.col("_vec"))
-        .select("key", "vec", "rep", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    cut = smallest_draw_cuts(numbered.select(F.lit("all").alias("stratum"), F.col("ticket").alias("draw")), {"all": (rest, rows)})
+    distinct, neighbours = nearest_neighbours(groups.select("key", "vec", "copies"), k, cell_rows)
+    copies = numbered.withColumn("copies", F.lit(each) + (F.col("ticket") <= F.lit(cut["all"])).cast("int")).where("copies > 0")
+    reps = distinct.select("rep", F.md5(F.col("vec").cast("string")).alias("vid"))
+    parents = _repeat(copies, F.col("copies"), "made").join(reps, "vid")
+    parents = parents.select(
+        "key", "vec", "rep", (F.col("index") * (each + 1) + F.col("made") + 1).cast("int").alias("copy")
     )
     rank = (F.floor(uniform(f"rank{seed}", "key", "copy") * k) + 1).cast("int")
     drawn = parents.withColumn("rank", rank).join(neighbours, ["rep", "rank"])

@@ -17,7 +17,7 @@ from basketlens.functions.cleaning import add_ratios, date_parts, flag_private,
 from basketlens.operators.correlation import correlated_columns
 from basketlens.operators.encode import apply_labels, fit_labels
 from basketlens.operators.quantiles import exact_quantiles
-from basketlens.operators.scaling import Scaler, fit_scaler, impute, train_medians
+from basketlens.operators.scaling import Scaler, fill_medians, fit_scaler, impute, train_medians
 from basketlens.operators.select import (
     align,
     drop_useless,
@@ -57,9 +57,10 @@ class Preparation:
         return coded.select(*keep, *[F.col(c).cast("double").alias(c) for c in ready], *numbers)
 
     def raw_features(self, df: DataFrame, keep: tuple[str, ...] = (KEY,)) -> DataFrame:
-        """Imputed, aligned features before scaling."""
+        """Imputed, aligned features before scaling; what no median fills is 0."""
         kept = tuple(c for c in keep if c in df.columns)
-        return align(impute(self.encode(self.clean(df), kept), self.medians), list(self.features), kept)
+        ready = align(impute(self.encode(self.clean(df), kept), self.medians), list(self.features), kept)
+        return impute(ready, {c: 0.0 for c in self.features})
 
     def transform(self, df: DataFrame, keep: tuple[str, ...] = (KEY,)) -> DataFrame:
         return self.scaler.transform(self.raw_features(df, keep))
@@ -176,12 +177,14 @@ def prepare(
     candidates = guard_features([c for c in processed.columns if c not in meta], target)
     train, test = (processed.where(F.col("split") == side).drop("split") for side in ("train", "test"))
 
-    medians = train_medians(train, candidates, test)
+    observed = train
+    medians = train_medians(observed, candidates, test)
     train, test = impute(train, medians), impute(test, medians)
     correlated = set(correlated_columns(train, candidates, correlation_threshold))
     candidates = [c for c in candidates if c not in correlated]
     importances = feature_importance(train, candidates, target, trees=importance_trees, seed=seed)
     features = select_by_importance(importances, importance_threshold)
+    medians = fill_medians(observed, features, medians)
 
     test = test.select(key, target, *features)
     if oversample:

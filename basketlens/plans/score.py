@@ -36,7 +36,8 @@ def score_churn(df: DataFrame, bundle: Bundle, actuals: DataFrame | None = None)
     """Decision, probability (4 decimals) and risk level per customer.
 
     ``actuals(key, label)`` adds the true class and whether the decision is right;
-    rows meet by key, never by position.
+    rows meet by key, never by position. A customer without a known class is scored
+    all the same, with both left empty.
     """
     scaled = bundle.preparations["preparation"].transform(df)
     scored = churn_probability(scaled, bundle.models["classifier_churn"], (KEY,))
@@ -49,7 +50,7 @@ def score_churn(df: DataFrame, bundle: Bundle, actuals: DataFrame | None = None)
     if actuals is None:
         return report
     truth = actuals.select(F.col(KEY).alias("_key"), F.col(TARGET).cast("int").alias("churn_actual"))
-    joined = report.join(truth, F.col(KEY) == F.col("_key")).drop("_key")
+    joined = report.join(truth, F.col(KEY) == F.col("_key"), "left").drop("_key")
     return joined.withColumn("correct", F.col("churn_predicted") == F.col("churn_actual"))
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import cached_property
+from math import ceil
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,7 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from basketlens.operators.clustering import best_k, silhouette
 from basketlens.operators.evaluate import roc_auc
-from basketlens.operators.scaling import fit_scaler, impute, train_medians, with_class_weight
+from basketlens.operators.scaling import fill_medians, fit_scaler, impute, train_medians, with_class_weight
 from basketlens.operators.select import regression_inputs
 from basketlens.operators.split import random_split, stratified_split
 from basketlens.plans.prepare import Preparation, Prepared
@@ -88,26 +92,44 @@ class Segmentation:
     model: KMeansModel
 
 
-def sweep_segments(
-    vectors: DataFrame, key: str, ks: range = range(2, 9), restarts: int = 10, seed: int = 42, sample_size: int = 1000
-) -> Segmentation:
-    """Inertia and sampled silhouette per k; the model of the best silhouette.
+#: Rows a task of an iterative fit should have; smaller tables are read by fewer tasks.
+ROWS_PER_TASK = 50_000
+#: Fits that are submitted side by side; each is a chain of small jobs.
+SIDE_BY_SIDE = 4
+
+
+def gathered(df: DataFrame) -> DataFrame:
+    """A written table in as many partitions as its rows call for, for fits that scan it many times."""
+    return df.coalesce(max(1, ceil(df.count() / ROWS_PER_TASK)))
+
+
+def side_by_side(tasks: list[Callable]) -> list:
+    """Results of independent fits, submitted from a few driver threads."""
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
+def sweep_segments(vectors: DataFrame, ks: range = range(2, 9), restarts: int = 10, seed: int = 42) -> Segmentation:
+    """Inertia and silhouette of all rows per k; the model of the best silhouette.
 
     Every fit scans the same written vector table, kept in memory while it lasts.
     """
-    table = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    table = gathered(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fitted(k: int) -> tuple[KMeansModel, float]:
+        model = fit_segments(table, k, restarts, seed)
+        labelled = model.transform(table).withColumn("pca", vector_to_array("pca"))
+        return model, silhouette(labelled, "pca", "cluster").first()["silhouette"]
+
     try:
-        models, rows = {}, []
-        for k in ks:
-            models[k] = fit_segments(table, k, restarts, seed)
-            labelled = models[k].transform(table).withColumn("pca", vector_to_array("pca"))
-            width = silhouette(labelled, key, "pca", "cluster", sample_size, seed).first()["silhouette"]
-            rows.append((k, float(models[k].summary.trainingCost), width))
+        table.count()
+        found = dict(zip(ks, side_by_side([lambda k=k: fitted(k) for k in ks]), strict=True))
     finally:
         table.unpersist()
+    rows = [(k, float(model.summary.trainingCost), width) for k, (model, width) in found.items()]
     scores = vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
     chosen = best_k(scores).first()["k"]
-    return Segmentation(scores, chosen, models[chosen])
+    return Segmentation(scores, chosen, found[chosen][0])
 
 
 def _vectors(df: DataFrame, features: list[str], label: str, weight: bool) -> DataFrame:
@@ -194,9 +216,10 @@ def fit_spend(
     table = stage(random_split(rows, key, 0.2, seed), "spend")
     features = [c for c in regression_inputs(table, drop_derived).columns if c not in (key, "split")]
     train, test = (table.where(F.col("split") == side).drop("split") for side in ("train", "test"))
-    medians = train_medians(train, features, test)
+    medians = fill_medians(train, features, train_medians(train, features, test))
     scaler = fit_scaler(impute(train, medians), features)
     ready = [scaler.transform(impute(side, medians).select(key, spend, *features)) for side in (train, test)]
+    ready[0] = gathered(stage(ready[0], "spend-train"))
     forest = RandomForestRegressor(
         numTrees=trees, maxDepth=depth, minInstancesPerNode=5, maxBins=64, featureSubsetStrategy="all",
         seed=seed, cacheNodeIds=True, labelCol=spend, predictionCol="monetary_predicted",
@@ -220,49 +243,80 @@ class TrainingSizes:
     restarts: int = 10
 
 
-@dataclass(frozen=True)
-class Trained:
-    prepared: Prepared
-    components: PipelineModel
-    segmentation: Segmentation
-    churn_models: dict[str, PipelineModel]
-    comparison: DataFrame
-    champion: str
-    spend: SpendModel
-
-
-def train_all(prepared: Prepared, sizes: TrainingSizes = TrainingSizes(), select_on: str = "validation") -> Trained:
-    """Every model from one prepared data set.
+class Training:
+    """Every model of one prepared data set, each fitted when first asked for.
 
     The champion is chosen on a fold held out of the training rows
     (``select_on="test"`` compares on the test side instead).
     """
-    features = list(prepared.preparation.features)
-    train = stage(prepared.train, "train")
-    test = stage(prepared.test, "test")
-    components = fit_components(train, features)
-    vectors = stage(components.transform(train).select(KEY, "copy", "pca"), "components")
-    segmentation = sweep_segments(
-        vectors.withColumn("row", F.concat_ws("|", KEY, "copy")), "row", sizes.segments, sizes.restarts
-    )
-    if select_on == "validation":
-        folds = stratified_split(train.where("copy = 0"), TARGET, KEY, 0.2, seed=43)
-        held = folds.where("split = 'test'").select(KEY, "split")
+
+    def __init__(self, prepared: Prepared, sizes: TrainingSizes = TrainingSizes(), select_on: str = "validation") -> None:
+        if select_on not in ("validation", "test"):
+            raise ValueError("select_on must be 'validation' or 'test'")
+        self.prepared, self.sizes, self.select_on = prepared, sizes, select_on
+        self.features = list(prepared.preparation.features)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return gathered(stage(self.prepared.train, "train"))
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return gathered(stage(self.prepared.test, "test"))
+
+    @cached_property
+    def components(self) -> PipelineModel:
+        return fit_components(self.train, self.features)
+
+    @cached_property
+    def segmentation(self) -> Segmentation:
+        vectors = stage(self.components.transform(self.train).select(KEY, "copy", "pca"), "components")
+        return sweep_segments(vectors, self.sizes.segments, self.sizes.restarts)
+
+    @cached_property
+    def forest(self) -> PipelineModel:
+        return fit_churn_forest(self.train, self.features, trees=self.sizes.churn_trees)
+
+    @cached_property
+    def boosting(self) -> PipelineModel:
+        return fit_churn_boosting(self.train, self.features, rounds=self.sizes.churn_rounds)
+
+    @property
+    def churn_models(self) -> dict[str, PipelineModel]:
+        return {"random_forest": self.forest, "gradient_boosting": self.boosting}
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        return compare_models(self.churn_models, self.train, self.test)
+
+    @cached_property
+    def champion(self) -> str:
+        if self.select_on == "test":
+            return choose_model(self.comparison)
+        folds = stage(stratified_split(self.train.where("copy = 0"), TARGET, KEY, 0.2, seed=43), "folds")
+        held = folds.where("split = 'test'").select(KEY).distinct()
         # A synthetic row stays with its parent, so none of it leaks into the fold.
-        inner = train.join(held.select(KEY), KEY, "left_anti")
+        inner = gathered(stage(self.train.join(held, KEY, "left_anti"), "fold-train"))
         fold = folds.where("split = 'test'").drop("split")
-        trial = [(n, held_out_auc(m, fold)) for n, m in _churn_models(inner, features, sizes).items()]
-        chosen = choose_model(train.sparkSession.createDataFrame(trial, "model string, test_auc double"))
-    churn = _churn_models(train, features, sizes)
-    comparison = compare_models(churn, train, test)
-    if select_on == "test":
-        chosen = choose_model(comparison)
-    spend = fit_spend(prepared, trees=sizes.spend_trees, depth=sizes.spend_depth)
-    return Trained(prepared, components, segmentation, churn, comparison, chosen, spend)
-
-
-def _churn_models(train: DataFrame, features: list[str], sizes: TrainingSizes) -> dict[str, PipelineModel]:
-    return {
-        "random_forest": fit_churn_forest(train, features, trees=sizes.churn_trees),
-        "gradient_boosting": fit_churn_boosting(train, features, rounds=sizes.churn_rounds),
-    }
+        trees, rounds = self.sizes.churn_trees, self.sizes.churn_rounds
+        models = side_by_side(
+            [
+                lambda: fit_churn_forest(inner, self.features, trees=trees),
+                lambda: fit_churn_boosting(inner, self.features, rounds=rounds),
+            ]
+        )
+        trial = [(n, held_out_auc(m, fold)) for n, m in zip(self.churn_models, models, strict=True)]
+        return choose_model(self.train.sparkSession.createDataFrame(trial, "model string, test_auc double"))
+
+    @cached_property
+    def spend(self) -> SpendModel:
+        return fit_spend(self.prepared, trees=self.sizes.spend_trees, depth=self.sizes.spend_depth)
+
+
+def train_all(prepared: Prepared, sizes: TrainingSizes = TrainingSizes(), select_on: str = "validation") -> Training:
+    """Every model from one prepared data set, independent ones side by side."""
+    training = Training(prepared, sizes, select_on)
+    training.train, training.test  # noqa: B018  written before the fits share them
+    side_by_side([lambda n=n: getattr(training, n) for n in ("segmentation", "forest", "boosting", "spend")])
+    training.champion, training.comparison  # noqa: B018
+    return training

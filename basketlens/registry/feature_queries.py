@@ -76,17 +76,17 @@ def filled_category(wb):
 
 @query(
     "fn_coerce_numeric",
-    f"""WITH {C360}, {SCENARIOS} SELECT CustomerID, try_cast(trim(Age) AS DOUBLE) AS age_or_null,
-    coalesce(try_cast(trim(Age) AS DOUBLE), 0) AS age_or_zero, coalesce(try_cast(trim(Frequency) AS DOUBLE), 0) AS frequency_or_zero
-    FROM scenarios""",
+    f"""WITH {C360}, {SCENARIOS} SELECT CustomerID, {", ".join(
+        f"try_cast(trim({c}) AS DOUBLE) AS {c}_or_null, coalesce(try_cast(trim({c}) AS DOUBLE), 0) AS {c}_or_zero" for c in whatif.DEFAULTS
+    )} FROM scenarios""",
 )
 def coerced(wb):
-    return wb.scenarios.select(
-        KEY,
-        cleaning.to_number(F.col("Age")).alias("age_or_null"),
-        cleaning.to_number_or_zero(F.col("Age")).alias("age_or_zero"),
-        cleaning.to_number_or_zero(F.col("Frequency")).alias("frequency_or_zero"),
-    )
+    cells = [
+        f(F.col(c)).alias(f"{c}_{name}")
+        for c in whatif.DEFAULTS
+        for f, name in ((cleaning.to_number, "or_null"), (cleaning.to_number_or_zero, "or_zero"))
+    ]
+    return wb.scenarios.select(KEY, *cells)
 
 
 @query("fn_risk_right", f"WITH {C360}, {SCORED} SELECT CustomerID, score, risk_level FROM report")
@@ -246,10 +246,10 @@ def plot_range(wb):
 @query(
     "fn_encode_and_clean",
     f"""WITH {C360}, {SCENARIOS}, codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT Country AS v FROM c360))
-    SELECT s.CustomerID, code::DOUBLE AS Country, coalesce(try_cast(trim(s.Age) AS DOUBLE), 0) AS Age
+    SELECT s.CustomerID, code::DOUBLE AS Country, {", ".join(f"coalesce(try_cast(trim(s.{c}) AS DOUBLE), 0) AS {c}" for c in whatif.DEFAULTS)}
     FROM scenarios s JOIN c360 USING (CustomerID) JOIN codes ON v = Country""",
 )
 def cleaned_numbers(wb):
     mapping = fit_labels(wb.customers, ["Country"])
-    batch = wb.scenarios.select(KEY, "Age").join(wb.customers.select(KEY, "Country"), KEY)
+    batch = wb.scenarios_with("Country")
     return encode_and_clean(batch, mapping, ["Country"], keep=(KEY,))

@@ -10,12 +10,11 @@ from basketlens.operators.smote import smote
 from basketlens.operators.split import random_split
 from basketlens.plans.prepare import feature_importance
 from basketlens.registry.base_sql import C360, SCORED, SPEND, SPLIT, uniform_sql
-from basketlens.registry.workbench import query
+from basketlens.registry.workbench import NUMERIC, query
 from basketlens.sources.customers import KEY, TARGET, write_table
 
 TEXTS = ["Country", "Region", "OrderPriority", "Gender"]
-NUMBERS = ["Frequency", "UniqueInvoices", "TotalQuantity", "CustomerTenureDays", "FirstPurchaseDaysAgo", "UniqueProducts",
-           "TotalTransactions", "NegativeQuantityCount", "Age"]
+NUMBERS = NUMERIC
 SMOTE_FEATURES = ["Frequency", "MonetaryTotal", "TotalQuantity", "CustomerTenureDays", "AccountBalance"]
 
 _CODES = "\nUNION ALL ".join(
@@ -69,10 +68,10 @@ def imputed(wb):
     return both.select(KEY, "split", *[F.round(c, 4).alias(c) for c in _IMPUTED])
 
 
-_PRUNE = "\nUNION ALL ".join(
-    f"SELECT '{b}' AS \"column\", abs(corr({a}, {b})) AS r FROM split WHERE side = 'train'"
-    for j, b in enumerate(NUMBERS)
-    for a in NUMBERS[:j]
+_PRUNE = (
+    "SELECT unnest(["
+    + ", ".join(f"{{'column': '{b}', 'r': abs(corr({a}, {b}))}}" for j, b in enumerate(NUMBERS) for a in NUMBERS[:j])
+    + "], recursive := true) FROM split WHERE side = 'train'"
 )
 
 
@@ -88,7 +87,7 @@ def pruned(wb):
 @query("fit_importance")
 def importances(wb):
     train = scaling.impute(_train(wb), scaling.train_medians(_train(wb), NUMBERS))
-    found = feature_importance(train, NUMBERS, TARGET, trees=20)
+    found = feature_importance(train, NUMBERS, TARGET)
     return wb.spark.createDataFrame(
         [(f, v, v >= 0.005) for f, v in found.items()], "feature string, importance double, kept boolean"
     )
@@ -133,7 +132,7 @@ def oversampled(wb):
     return out.select(KEY, "copy", TARGET, *[F.round(c, 4).alias(c) for c in SMOTE_FEATURES])
 
 
-_SCALED = ["Frequency", "TotalQuantity", "CustomerTenureDays", "ZeroPriceCount"]
+_SCALED = NUMERIC
 
 
 @query(
@@ -149,18 +148,22 @@ def scaled(wb):
     return scaler.transform(filled).select(KEY, "split", *[F.round(c, 6).alias(c) for c in _SCALED])
 
 
+_SPEND_INPUTS = [c for c in NUMERIC if c != "MonetaryTotal"]
+
+
 @query(
     "fit_regression_scale",
     f"""WITH {C360}, p AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('split42|' || CustomerID))
       <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS side FROM c360 WHERE MonetaryTotal IS NOT NULL),
-    s AS (SELECT avg(TotalQuantity) AS m, stddev_pop(TotalQuantity) AS d FROM p WHERE side = 'train')
-    SELECT CustomerID, side AS split, round((TotalQuantity - m) / d, 6) AS TotalQuantity FROM p, s""",
+    s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in _SPEND_INPUTS)} FROM p WHERE side = 'train')
+    SELECT CustomerID, side AS split,
+      {", ".join(f"round(({c} - m_{c}) / (CASE WHEN d_{c} = 0 THEN 1 ELSE d_{c} END), 6) + 0.0 AS {c}" for c in _SPEND_INPUTS)} FROM p, s""",
 )
 def regression_scaled(wb):
-    rows = wb.customers.where(F.col("MonetaryTotal").isNotNull()).select(KEY, "TotalQuantity")
+    rows = wb.customers.where(F.col("MonetaryTotal").isNotNull()).select(KEY, *_SPEND_INPUTS)
     parts = random_split(rows, KEY)
-    scaler = scaling.fit_scaler(parts.where("split = 'train'"), ["TotalQuantity"])
-    return scaler.transform(parts).select(KEY, "split", F.round("TotalQuantity", 6).alias("TotalQuantity"))
+    scaler = scaling.fit_scaler(parts.where("split = 'train'"), _SPEND_INPUTS)
+    return scaler.transform(parts).select(KEY, "split", *[(F.round(c, 6) + 0.0).alias(c) for c in _SPEND_INPUTS])
 
 
 @query(
@@ -336,14 +339,17 @@ def histogram(wb):
     return out.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n")
 
 
+_STANDARD = ", ".join(f"({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0) AS {c}" for c in NUMERIC)
+_TOTAL, _CELLS = " + ".join(f"coalesce(sum({c}), 0)" for c in NUMERIC), " + ".join(f"count({c})" for c in NUMERIC)
+
+
 @query(
     "ev_scaler_means",
-    f"""WITH {C360}, s AS (SELECT avg(Frequency) AS m1, stddev_pop(Frequency) AS d1, avg(CustomerTenureDays) AS m2, stddev_pop(CustomerTenureDays) AS d2 FROM c360)
-    SELECT 'before' AS stage, round((sum(Frequency) + sum(CustomerTenureDays)) / (2 * count(*)), 6) AS mean FROM c360
-    UNION ALL SELECT 'after', round((sum((Frequency - m1) / d1) + sum((CustomerTenureDays - m2) / d2)) / (2 * count(*)), 6) + 0.0 FROM c360, s""",
+    f"""WITH {C360}, z AS (SELECT {_STANDARD} FROM c360)
+    SELECT 'before' AS stage, round(({_TOTAL}) / ({_CELLS}), 4) AS mean FROM c360
+    UNION ALL SELECT 'after', round(({_TOTAL}) / (SELECT {_CELLS} FROM c360), 4) + 0.0 FROM z""",
 )
 def scaler_means(wb):
-    columns = ["Frequency", "CustomerTenureDays"]
-    table = wb.customers.select(*columns)
-    means = scaling.cell_means(table, scaling.fit_scaler(table, columns).transform(table), columns)
-    return means.withColumn("mean", F.round("mean", 6) + 0.0)
+    table = wb.customers.select(*NUMERIC)
+    means = scaling.cell_means(table, scaling.fit_scaler(table, NUMERIC).transform(table), NUMERIC)
+    return means.withColumn("mean", F.round("mean", 4) + 0.0)

@@ -9,7 +9,7 @@ from basketlens.operators import clustering
 from basketlens.plans import report, score, train
 from basketlens.registry.base_sql import C360, CLUSTERED, SCORED, SPEND
 from basketlens.registry import feature_queries  # noqa: F401  registers the what-if SQL used below
-from basketlens.registry.workbench import EXPECTED_SQL, query
+from basketlens.registry.workbench import EXPECTED_SQL, NUMERIC, query
 from basketlens.sources.artefacts import load_bundle, save_bundle
 from basketlens.sources.customers import KEY, TARGET
 from basketlens.streaming import score_stream
@@ -50,8 +50,8 @@ def segment_labels(wb):
 
 @query(
     "ml_silhouette",
-    """WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS x, label AS c FROM embeddings ORDER BY md5('sample42|' || vec_id), vec_id LIMIT 1000),
-    d AS (SELECT a.vec_id, a.c, b.c AS oc, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
+    """WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS x, label AS c FROM embeddings),
+    d AS (SELECT a.vec_id, a.c, b.c AS oc, sum(list_distance(a.x, b.x) ** 2) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
     w AS (SELECT vec_id, max(CASE WHEN c = oc THEN total / greatest(n - 1, 1) END) AS inner_d, min(CASE WHEN c <> oc THEN total / n END) AS outer_d,
           max(CASE WHEN c = oc THEN n END) AS own FROM d GROUP BY 1)
     SELECT (SELECT count(DISTINCT c) FROM s)::INTEGER AS clusters, count(*) AS n,
@@ -59,7 +59,7 @@ def segment_labels(wb):
 )
 def silhouette(wb):
     points = wb.table("embeddings").withColumn("x", F.col("embedding").cast("array<double>"))
-    return clustering.silhouette(points, "vec_id", "x", "label").withColumn("silhouette", F.round("silhouette", 6))
+    return clustering.silhouette(points, "x", "label").withColumn("silhouette", F.round("silhouette", 6))
 
 
 @query(
@@ -77,7 +77,7 @@ def sizes(wb):
     return clustering.cluster_sizes(wb.clustered)
 
 
-_PROFILED = ("Frequency", "TotalTransactions", "CustomerTenureDays", "ReturnRatio")
+_PROFILED = NUMERIC
 
 
 @query(

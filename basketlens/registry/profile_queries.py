@@ -9,7 +9,7 @@ from basketlens.operators.clustering import cluster_profiles
 from basketlens.operators.quantiles import exact_quantiles
 from basketlens.plans.report import high_risk_share
 from basketlens.registry.base_sql import C360, CLUSTERED, SCORED, SPLIT
-from basketlens.registry.workbench import query
+from basketlens.registry.workbench import DOUBLES, EVERY, INTS, LONGS, NUMERIC, TEXTS, query
 from basketlens.sources.customers import (
     KEY,
     SHORT_TO_LONG,
@@ -21,9 +21,7 @@ from basketlens.sources.customers import (
     write_table,
 )
 
-NUMBERS = ["Frequency", "MonetaryTotal", "MonetaryAvg", "TotalQuantity", "CustomerTenureDays", "AvgDaysBetweenPurchases",
-           "UniqueProducts", "TotalTransactions", "Age", "AccountBalance", "PreferredHour", "UniqueInvoices"]
-PROFILED = [KEY, TARGET, *NUMBERS, "Gender", "Country", "NewsletterSubscribed", "ZeroPriceCount", "MonetaryStd"]
+NUMBERS, PROFILED = NUMERIC, EVERY
 
 _LONG_ROWS = ", ".join(f"'{c}'" for c in NUMBERS)
 
@@ -78,7 +76,7 @@ def short_dialect(wb):
     m AS ({_unpivot(PROFILED, "SELECT '{c}' AS name, count(*) - count({c}) AS n FROM t")})
     SELECT 'shape' AS section, 'rows' AS name, count(*)::DOUBLE AS value FROM t
     UNION ALL SELECT 'shape', 'columns', {len(PROFILED)}.0::DOUBLE
-    UNION ALL SELECT 'types', t, n::DOUBLE FROM (VALUES ('bigint', 6), ('int', 3), ('double', 7), ('string', 3)) v(t, n)
+    UNION ALL SELECT 'types', t, n::DOUBLE FROM (VALUES ('bigint', {len(LONGS)}), ('int', {len(INTS)}), ('double', {len(DOUBLES)}), ('string', {len(TEXTS)})) v(t, n)
     UNION ALL SELECT 'missing', name, n::DOUBLE FROM (SELECT * FROM m WHERE n > 0 ORDER BY n DESC, name LIMIT 10)
     UNION ALL SELECT 'duplicates', 'rows', (SELECT count(*) FROM t)::DOUBLE - (SELECT count(*) FROM (SELECT DISTINCT * FROM t))""",
 )
@@ -86,22 +84,26 @@ def load_and_inspect(wb):
     return profile.load_and_inspect(wb.customers.select(*PROFILED))
 
 
-@query("src_load_split", f"WITH {C360}, {SPLIT} SELECT CustomerID, Churn FROM split WHERE side = 'train'")
+#: Whole numbers and texts are compared as they are, other numbers to six places.
+_SHOWN = [*LONGS, *INTS, *TEXTS]
+_ROUNDED = ", ".join([*_SHOWN, *[f"round({c}, 6) + 0.0 AS {c}" for c in DOUBLES]])
+
+
+@query("src_load_split", f"WITH {C360}, {SPLIT} SELECT {_ROUNDED} FROM split WHERE side = 'train'")
 def train_side(wb):
-    sides = [wb.split.where(F.col("split") == s).select(KEY, TARGET, "Frequency") for s in ("train", "test")]
+    sides = [wb.split.where(F.col("split") == s).drop("split") for s in ("train", "test")]
     path = write_split(*sides, wb.path("split"))
-    return load_split(wb.spark, path, "train").select(KEY, TARGET)
+    return load_split(wb.spark, path, "train").select(*_SHOWN, *[(F.round(c, 6) + 0.0).alias(c) for c in DOUBLES])
 
 
 @query(
     "snk_split_tables",
-    f"""WITH {C360}, {SPLIT} SELECT side AS split, Churn, count(*) AS n, sum(Frequency)::BIGINT AS orders
-    FROM split GROUP BY 1, 2""",
+    f"WITH {C360}, {SPLIT} SELECT side AS split, {_ROUNDED} FROM split",
 )
 def split_tables(wb):
-    sides = [wb.split.where(F.col("split") == s).select(KEY, TARGET, "Frequency") for s in ("train", "test")]
+    sides = [wb.split.where(F.col("split") == s).drop("split") for s in ("train", "test")]
     written = wb.spark.read.parquet(write_split(*sides, wb.path("split")))
-    return written.groupBy("split", TARGET).agg(F.count("*").alias("n"), F.sum("Frequency").alias("orders"))
+    return written.select("split", *_SHOWN, *[(F.round(c, 6) + 0.0).alias(c) for c in DOUBLES])
 
 
 @query(
@@ -116,11 +118,10 @@ def churn_report(wb):
 
 @query(
     "snk_cluster_profiles",
-    f"""WITH {C360}, {CLUSTERED} SELECT cluster, round(avg(Frequency), 3) AS Frequency,
-    round(avg(TotalTransactions), 3) AS TotalTransactions FROM clustered GROUP BY 1""",
+    f"WITH {C360}, {CLUSTERED} SELECT cluster, {', '.join(f'round(avg({c}), 3) AS {c}' for c in NUMERIC)} FROM clustered GROUP BY 1",
 )
 def profiles_sink(wb):
-    profiles = cluster_profiles(wb.clustered, ["Frequency", "TotalTransactions"])
+    profiles = cluster_profiles(wb.clustered, NUMERIC)
     return wb.spark.read.parquet(write_table(profiles, wb.path("profiles")))
 
 
@@ -140,11 +141,10 @@ def missing_top10(wb):
 
 @query(
     "pro_duplicates",
-    """SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax FROM lineitem))
-    AS duplicates FROM lineitem""",
+    "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicates FROM lineitem",
 )
 def duplicates(wb):
-    return profile.duplicate_rows(wb.table("lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"))
+    return profile.duplicate_rows(wb.table("lineitem"))
 
 
 @query(
@@ -165,8 +165,10 @@ def first_rows(wb):
 
 
 _PAIRS = [(a, b) for i, a in enumerate(NUMBERS) for b in NUMBERS[:i]]
-_CORR = "\nUNION ALL ".join(
-    f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), 6) AS correlation FROM c360" for a, b in _PAIRS
+_CORR = (
+    "SELECT unnest(["
+    + ", ".join(f"{{'feature_1': '{a}', 'feature_2': '{b}', 'correlation': round(corr({a}, {b}), 6)}}" for a, b in _PAIRS)
+    + "], recursive := true) FROM c360"
 )
 
 
@@ -178,7 +180,7 @@ def correlation_long(wb):
 @query(
     "pro_high_corr_pairs",
     f"""WITH {C360}, r AS ({_CORR}) SELECT feature_2 AS feature_1, feature_1 AS feature_2, round(abs(correlation), 4) AS correlation
-    FROM r WHERE abs(correlation) >= 0.8""",
+    FROM r WHERE abs(correlation) >= 0.8 AND NOT isnan(correlation)""",
 )
 def strong_pairs(wb):
     return correlation.high_correlation_pairs(wb.customers, 0.8, NUMBERS)

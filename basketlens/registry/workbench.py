@@ -14,24 +14,52 @@ from basketlens.functions.risk import decide, risk_level
 from basketlens.operators.clustering import assign
 from basketlens.operators.split import stratified_split
 from basketlens.plans.prepare import Prepared, prepare
-from basketlens.plans.train import TrainingSizes, Trained, train_all
+from basketlens.plans.train import Training, TrainingSizes
 from basketlens.sources.artefacts import Bundle, bundle_of
 from basketlens.sources.customer360 import customer360, table
 from basketlens.sources.customers import KEY, TARGET
 from basketlens.staging import new_path, stage
 
-# Small enough for a check run; the library defaults are the full sizes.
-CHECK_SIZES = TrainingSizes(
-    importance_trees=20, churn_trees=20, churn_rounds=10, spend_trees=10, spend_depth=8, segments=range(2, 5), restarts=1
-)
+#: Columns of the customer table with the profile fixture, by type.
+LONGS = ("CustomerID Frequency UniqueInvoices UniqueProducts UniqueDescriptions UniqueCountries TotalTransactions "
+         "NegativeQuantityCount CancelledTransactions ZeroPriceCount").split()
+INTS = "Churn Recency CustomerTenureDays FirstPurchaseDaysAgo PreferredDayOfWeek PreferredMonth PreferredHour".split()
+DOUBLES = (
+    "MonetaryTotal MonetaryAvg MonetaryStd MonetaryMin MonetaryMax TotalQuantity MinQuantity MaxQuantity "
+    "AvgQuantityPerTransaction WeekendPurchaseRatio AvgDaysBetweenPurchases AvgProductsPerTransaction AvgLinesPerInvoice "
+    "ReturnRatio AccountBalance Age SupportTicketsCount SatisfactionScore"
+).split()
+TEXTS = "Country Region CustomerType OrderPriority RegistrationDate Gender NewsletterSubscribed LastLoginIP".split()
+EVERY = [*LONGS, *INTS, *DOUBLES, *TEXTS]
+NUMERIC = [c for c in (*LONGS, *INTS, *DOUBLES) if c not in (KEY, TARGET)]
 
 CLUSTER_FEATURES = ["Frequency", "TotalTransactions", "CustomerTenureDays", "FirstPurchaseDaysAgo"]
 CENTRES = [[6.0, 24.0, 1500.0, 1800.0], [10.0, 40.0, 1750.0, 1900.0], [15.0, 60.0, 1850.0, 1950.0]]
 
 
+def with_profile_fixture(customers: DataFrame) -> DataFrame:
+    """Profile columns the tables do not hold, made from the key: gaps, sentinels, mixed date formats."""
+    key, registered = F.col(KEY), F.to_date("RegistrationDate")
+    return customers.withColumns(
+        {
+            "Age": F.when(key % 10 >= 3, (18 + (key * 7919) % 63).cast("double")),
+            "SupportTicketsCount": F.when(key % 20 == 0, -1.0).when(key % 33 == 1, 999.0).otherwise((key % 16).cast("double")),
+            "SatisfactionScore": F.when(key % 25 == 0, -1.0).when(key % 25 == 1, 99.0).otherwise((key % 51) / 10),
+            "Gender": F.when(key % 10 != 9, F.when(key % 2 == 0, "F").otherwise("M")),
+            "NewsletterSubscribed": F.lit("Yes"),
+            "RegistrationDate": F.when(key % 3 == 0, F.date_format(registered, "dd/MM/yy"))
+            .when(key % 3 == 1, F.date_format(registered, "yyyy-MM-dd"))
+            .otherwise(F.date_format(registered, "MM/dd/yyyy")),
+            "LastLoginIP": F.when(key % 101 == 0, "bad").otherwise(
+                F.concat_ws(".", (key * 37) % 256, (key * 11) % 256, (key * 7) % 256, key % 256)
+            ),
+        }
+    )
+
+
 class Workbench:
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, sizes: TrainingSizes = TrainingSizes()) -> None:
+        self.spark, self.sf_dir, self.sizes = spark, sf_dir, sizes
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -41,7 +69,7 @@ class Workbench:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return stage(customer360(self.spark, self.sf_dir), "customer360")
+        return stage(with_profile_fixture(customer360(self.spark, self.sf_dir)), "customer360")
 
     @cached_property
     def split(self) -> DataFrame:
@@ -79,11 +107,15 @@ class Workbench:
 
     @property
     def clustered(self) -> DataFrame:
-        return assign(self.customers.select(KEY, *CLUSTER_FEATURES, "MonetaryTotal", "ReturnRatio"), CLUSTER_FEATURES, CENTRES)
+        return assign(self.customers, CLUSTER_FEATURES, CENTRES)
 
     @property
     def scenarios(self) -> DataFrame:
         """What-if inputs as text, with blank, unreadable and missing cells."""
+        return self.scenarios_with()
+
+    def scenarios_with(self, *columns: str) -> DataFrame:
+        """The scenarios with further columns of their customers."""
         key = F.col(KEY)
 
         def text(value, period: int):
@@ -98,6 +130,7 @@ class Workbench:
         c = F.col
         return self.customers.select(
             key,
+            *columns,
             text(c("Frequency"), 7).alias("Frequency"),
             text(c("TotalQuantity").cast("int"), 8).alias("MonetaryTotal"),
             text(c("MinQuantity").cast("int") * 10, 9).alias("MonetaryAvg"),
@@ -112,11 +145,12 @@ class Workbench:
 
     @cached_property
     def prepared(self) -> Prepared:
-        return prepare(self.customers, importance_trees=CHECK_SIZES.importance_trees)
+        return prepare(self.customers, importance_trees=self.sizes.importance_trees)
 
     @cached_property
-    def trained(self) -> Trained:
-        return train_all(self.prepared, CHECK_SIZES)
+    def trained(self) -> Training:
+        """Every model is fitted when first asked for."""
+        return Training(self.prepared, self.sizes)
 
     @property
     def bundle(self) -> Bundle:

@@ -178,23 +178,9 @@ def customer360(spark: SparkSession, sf_dir: str, cutoff: str = DEFAULT_CUTOFF)
         "CancelledTransactions",
         F.coalesce("zero_price_lines", F.lit(0)).alias("ZeroPriceCount"),
         F.col("c_acctbal").alias("AccountBalance"),
-        F.when(key % 10 >= 3, (18 + (key * 7919) % 63).cast("double")).alias("Age"),
-        F.when(key % 20 == 0, -1.0)
-        .when(key % 33 == 1, 999.0)
-        .otherwise((key % 16).cast("double"))
-        .alias("SupportTicketsCount"),
-        F.when(key % 25 == 0, -1.0).when(key % 25 == 1, 99.0).otherwise((key % 51) / 10).alias("SatisfactionScore"),
         F.col("n_name").alias("Country"),
         F.col("r_name").alias("Region"),
         F.col("c_mktsegment").alias("CustomerType"),
         "OrderPriority",
-        F.when(key % 10 != 9, F.when(key % 2 == 0, "F").otherwise("M")).alias("Gender"),
-        F.lit("Yes").alias("NewsletterSubscribed"),
-        F.when(key % 3 == 0, F.date_format("first_order", "dd/MM/yy"))
-        .when(key % 3 == 1, F.date_format("first_order", "yyyy-MM-dd"))
-        .otherwise(F.date_format("first_order", "MM/dd/yyyy"))
-        .alias("RegistrationDate"),
-        F.when(key % 101 == 0, "bad")
-        .otherwise(F.concat_ws(".", (key * 37) % 256, (key * 11) % 256, (key * 7) % 256, key % 256))
-        .alias("LastLoginIP"),
+        F.date_format("first_order", "yyyy-MM-dd").alias("RegistrationDate"),
     )

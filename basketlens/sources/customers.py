@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 KEY = "CustomerID"
 TARGET = "Churn"
@@ -99,24 +99,44 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+def _typed(column: Column, kind: T.DataType) -> Column:
+    """A text cell as its declared type; ``12.0`` is a whole number, ``12.5`` is not."""
+    text = F.trim(column)
+    if isinstance(kind, T.StringType):
+        return F.when(column != "", column)
+    number = text.try_cast("double")
+    if isinstance(kind, T.DoubleType):
+        return number
+    exact = text.try_cast("bigint")
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2.0**53), number.cast("bigint"))
+    return F.coalesce(exact, whole).try_cast(kind)
+
+
+def _cells(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, T.DataType]]:
+    header = header_columns(spark, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(schema).option("header", True).option("nullValue", "").option("enforceSchema", False).csv(path)
+    return raw, {c: COLUMN_TYPES.get(SHORT_TO_LONG.get(c, c), T.StringType()) for c in header}
+
+
 def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw customer CSV in either dialect, with declared types; empty cells and NaN become NULL.
 
-    Columns outside the known vocabulary stay text, as no type is declared for them.
+    Cells are read as text and converted, so whole numbers written with decimals (as a table
+    with gaps is) are kept. What cannot be converted becomes NULL; ``unreadable_cells`` counts
+    it. Columns outside the known vocabulary stay text, as no type is declared for them.
     """
-    header = header_columns(spark, path)
-    schema = T.StructType(
-        [T.StructField(c, COLUMN_TYPES.get(SHORT_TO_LONG.get(c, c), T.StringType())) for c in header]
-    )
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", "")
-        .option("nanValue", "NaN")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return nan_to_null(canonical_names(raw))
+    raw, kinds = _cells(spark, path)
+    return nan_to_null(canonical_names(raw.select(*[_typed(F.col(c), k).alias(c) for c, k in kinds.items()])))
+
+
+def unreadable_cells(spark: SparkSession, path: str) -> DataFrame:
+    """(column, cells): cells of a CSV that hold something, but not the declared type."""
+    raw, kinds = _cells(spark, path)
+    empty = lambda c: F.col(c).isNull() | F.lower(F.trim(F.col(c))).isin("", "nan")
+    counts = raw.agg(*[F.count_if(~empty(c) & _typed(F.col(c), k).isNull()).alias(c) for c, k in kinds.items()])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("cells")) for c in kinds])
+    return counts.select(F.inline(cells)).where("cells > 0")
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:

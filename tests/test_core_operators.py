@@ -85,9 +85,13 @@ def test_smallest_draws(spark, fetch_rows):
     assert smallest_draw_cuts(df, {0: (0, 250), 1: (250, 250)}) == {0: "", 1: "~"}
 
 
-def test_allocation_is_exact():
-    assert allocate({0: 584 + 2334, 1: 291 + 1164}, 0.2) == {0: 584, 1: 291}
-    assert sum(allocate({0: 7, 1: 3, 2: 1}, 0.2).values()) == 3
+def test_allocation_is_exact(spark):
+    def allocated(counts):
+        frame = spark.createDataFrame(list(counts.items()), "stratum int, rows long")
+        return {r["stratum"]: r["k"] for r in allocate(frame, 0.2).collect()}
+
+    assert allocated({0: 584 + 2334, 1: 291 + 1164}) == {0: 584, 1: 291}
+    assert sum(allocated({0: 7, 1: 3, 2: 1}).values()) == 3
 
 
 def test_split_is_the_same_for_any_partitioning(spark):

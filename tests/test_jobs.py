@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 from basketlens.operators.select import text_columns
 from basketlens.plans import report, score, train
 from basketlens.plans.prepare import Preparation, feature_importance, prepare, select_by_importance
-from basketlens.registry.workbench import CHECK_SIZES, Workbench
+from basketlens.plans.train import TrainingSizes
+from basketlens.registry.workbench import Workbench
 from basketlens.sources.artefacts import bundle_of, load_bundle, save_bundle, save_model
 from basketlens.sources.customers import KEY, LEAKAGE_COLUMNS, TARGET
 from basketlens.streaming import score_stream
 
+SMALL = TrainingSizes(
+    importance_trees=20, churn_trees=20, churn_rounds=10, spend_trees=10, spend_depth=8, segments=range(2, 5), restarts=1
+)
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def wb(spark):
-    return Workbench(spark, SF)
+    return Workbench(spark, SF, SMALL)
 
 
 @pytest.fixture(scope="module")
@@ -201,4 +205,4 @@ def test_sizes_default_to_the_full_ones():
     full = train.TrainingSizes()
     assert (full.importance_trees, full.churn_trees, full.churn_rounds, full.spend_trees, full.restarts) == (100, 200, 200, 200, 10)
     assert list(full.segments) == [2, 3, 4, 5, 6, 7, 8]
-    assert CHECK_SIZES.churn_trees < full.churn_trees
+    assert SMALL.churn_trees < full.churn_trees
