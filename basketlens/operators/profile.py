@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlens.functions.cleaning import VALID_RANGES
 from basketlens.operators.quantiles import exact_quantiles
@@ -66,8 +66,8 @@ def summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def class_distribution(df: DataFrame, label: str = TARGET) -> DataFrame:
     """Count and share per class, classes in order."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total")).first()["total"]
-    return counts.select(F.col(label).alias("class"), "n", (F.col("n") / F.lit(total)).alias("share")).orderBy("class")
+    share = F.col("n") / F.sum("n").over(Window.partitionBy())  # over one row per class
+    return counts.select(F.col(label).alias("class"), "n", share.alias("share")).orderBy("class")
 
 
 def target_rates(df: DataFrame, label: str = TARGET, by: str = "split") -> DataFrame:
@@ -86,11 +86,17 @@ def balance(before: DataFrame, after: DataFrame, label: str = TARGET) -> DataFra
 
 
 def outlier_counts(df: DataFrame, quantiles: dict[float, float] | None = None) -> DataFrame:
-    """How many values each cleaning rule changes."""
+    """How many values each cleaning rule sets to missing or clips.
+
+    The satisfaction rule counts what lies outside its range, missing values included; the
+    ticket rule counts values below or above only.
+    """
     rules = {}
     for column, (low, high) in VALID_RANGES.items():
         if column in df.columns:
-            rules[f"{column} outside [{low}, {high}]"] = ~F.col(column).between(low, high)
+            outside = ~F.col(column).between(low, high)
+            missing = F.lit(column == "SatisfactionScore")
+            rules[f"{column} outside [{low}, {high}]"] = F.coalesce(outside, missing)
     if quantiles and "MonetaryTotal" in df.columns:
         rules["MonetaryTotal clipped"] = ~F.col("MonetaryTotal").between(quantiles[0.01], quantiles[0.99])
     row = df.agg(*[F.count_if(mask).alias(f"r{i}") for i, mask in enumerate(rules.values())])

@@ -207,7 +207,7 @@ def target_rates(wb):
     "pro_outlier_counts",
     f"""WITH {C360}, q AS (SELECT quantile_cont(MonetaryTotal, 0.01) AS lo, quantile_cont(MonetaryTotal, 0.99) AS hi FROM c360)
     SELECT 'SupportTicketsCount outside [0, 15]' AS rule, count(*) FILTER (WHERE SupportTicketsCount NOT BETWEEN 0 AND 15) AS n FROM c360
-    UNION ALL SELECT 'SatisfactionScore outside [1, 5]', count(*) FILTER (WHERE SatisfactionScore NOT BETWEEN 1 AND 5) FROM c360
+    UNION ALL SELECT 'SatisfactionScore outside [1, 5]', count(*) FILTER (WHERE coalesce(SatisfactionScore NOT BETWEEN 1 AND 5, true)) FROM c360
     UNION ALL SELECT 'MonetaryTotal clipped', count(*) FILTER (WHERE MonetaryTotal NOT BETWEEN lo AND hi) FROM c360, q""",
 )
 def outliers(wb):

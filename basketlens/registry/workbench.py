@@ -164,19 +164,11 @@ class Workbench:
 _open: dict[tuple, Workbench] = {}
 
 
-def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(sf_dir)
-    row = files.agg(
-        F.count("*").alias("n"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("changed")
-    ).first()
-    return row["n"], row["bytes"], str(row["changed"])
-
-
 def workbench(spark: SparkSession, sf_dir: str) -> Workbench:
-    """The shared workbench of a session, folder and state of its files."""
-    key = (spark.sparkContext.applicationId, sf_dir, *_input_state(spark, sf_dir))
+    """The shared workbench of a session and folder; tables are taken as they are when it is first used."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _open:
-        for old in [k for k in _open if k[:2] == key[:2] or k[0] != key[0]]:
+        for old in [k for k in _open if k[0] != key[0]]:
             del _open[old]
         _open[key] = Workbench(spark, sf_dir)
     return _open[key]
