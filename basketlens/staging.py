@@ -7,6 +7,8 @@ the scan, and a lost executor costs a re-read instead of the whole lineage.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +31,22 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
 
 
+_folders: set[str] = set()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/basketlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path of its own in the application's folder, which goes when the driver ends."""
+    folder = f"{checkpoint_root(spark)}/basketlens/{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_clear, spark._jvm, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _clear(jvm, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        target = jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
 
 
 def stage_path(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
