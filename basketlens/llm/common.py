@@ -32,7 +32,7 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of at most ``limit`` text bytes (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:

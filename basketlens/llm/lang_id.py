@@ -26,7 +26,7 @@ UNKNOWN = "und"
 #: Trigram counts a task keeps before it passes them on.
 HELD = 1 << 20
 #: Text bytes handled at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _letters: np.ndarray | None = None
 
