@@ -473,6 +473,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     parts = cut.join(bases.withColumnsRenamed({"block": "of", "bytes": "split_bytes"}), "file").where(
         "body < base + split_bytes and body + length > base"
     )
+    # Written first, so that Spark knows its size before it decides how to join the archives' bytes.
+    parts = stage(parts, "warc-parts")
     chunks = map_batches(lines, _chunks, "file long, block long, rel long, data binary")
     pieces = chunks.withColumnRenamed("block", "of").join(parts, ["file", "of"])
     pieces = pieces.withColumn("at", F.col("base") + F.col("rel")).withColumn("size", F.octet_length("data"))
