@@ -208,8 +208,52 @@ def _visit(visits: DataFrame, placed: DataFrame, k: int, visit_rows: int) -> Dat
     )
 
 
+def _turned(points: DataFrame, d: int, seed: int) -> DataFrame:
+    """Points with their vectors turned by a random rotation, which keeps all distances."""
+    turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, d)))[0]
+
+    def rotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(vec=list(_matrix(batch["vec"]) @ turn))
+
+    return points.mapInPandas(rotate, "rep long, copies long, vec array<double>")
+
+
+def _within_cells(placed: DataFrame, k: int) -> DataFrame:
+    """Candidates of every row from its own cell only."""
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        x, reps, copies = _matrix(pdf["vec"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        step = max(1, BLOCK // len(x))
+        for start in range(0, len(x), step):
+            block = _squared(x[start : start + step], x)
+            block[np.arange(len(block)), start + np.arange(len(block))] = np.inf
+            for offset, d2 in enumerate(block):
+                near = _nearest(d2, k)
+                near = near[np.isfinite(d2[near])]
+                found.append((reps[start + offset], near, d2[near]))
+        return _candidates(found, reps, copies)
+
+    return placed.groupBy("cell").applyInPandas(search, "rep long, q_rep long, q_copies long, d2 double")
+
+
+def _approximate(distinct: DataFrame, d: int, k: int, cell_rows: int, trees: int) -> DataFrame:
+    """Candidates from the cells of several partitions, each of differently turned points."""
+    parts = []
+    for tree in range(trees):
+        placed, _ = _partition(stage(_turned(distinct, d, tree), "turned"), d, cell_rows)
+        parts.append(stage(_within_cells(placed, k), "near"))
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    return both.groupBy("rep", "q_rep").agg(F.min("q_copies").alias("q_copies"), F.min("d2").alias("d2"))
+
+
 def nearest_neighbours(
-    points: DataFrame, k: int, cell_rows: int = CELL_ROWS, visit_rows: int = VISIT_ROWS
+    points: DataFrame, k: int, cell_rows: int = CELL_ROWS, visit_rows: int = VISIT_ROWS, trees: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """k nearest other rows of every row of ``points(key, vec[, copies])``, Euclidean, ties by smaller key.
 
@@ -217,6 +261,11 @@ def nearest_neighbours(
     vectors in the order of their smallest key (of any type, repeated or missing), and
     ``neighbours(rep, rank, distance, neighbour)`` has the vector at every rank. A
     ``copies`` column counts rows that were combined before.
+
+    With ``trees`` the search is approximate: a row is compared with the rows of its own
+    cell in so many partitions of differently turned points and with no others, so its work
+    stays at ``trees * cell_rows`` however long the table and however many the dimensions.
+    Distances are exact; a neighbour that shares none of the cells is missed.
     """
     ship(points.sparkSession)
     copies = F.sum("copies") if "copies" in points.columns else F.count("*")
@@ -229,6 +278,8 @@ def nearest_neighbours(
     if first is None:
         raise ValueError("no rows to search")
     d = first["d"]
+    if trees:
+        return distinct, _ranked(_approximate(distinct, d, k, cell_rows, trees), distinct, k)
     placed, bounds = _partition(distinct, d, cell_rows)
     names = np.array(sorted(bounds))
     boxes = points.sparkSession.sparkContext.broadcast(
@@ -278,6 +329,11 @@ def nearest_neighbours(
 
     candidates = local if len(bounds) == 1 else local.unionByName(_visit(visits, placed, k, visit_rows))
 
+    return distinct, _ranked(candidates, distinct, k)
+
+
+def _ranked(candidates: DataFrame, distinct: DataFrame, k: int) -> DataFrame:
+    """(rep, rank, distance, neighbour) from candidates, identical rows first."""
     in_order = Window.partitionBy("rep").orderBy("d2", "q_rep")
     kept = candidates.withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k)
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -295,4 +351,4 @@ def nearest_neighbours(
         .withColumn("rank", F.explode(F.sequence(F.lit(1), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))))
         .select("rep", "rank", F.lit(0.0).alias("distance"), F.col("vec").alias("neighbour"))
     )
-    return distinct, others.unionByName(twins)
+    return others.unionByName(twins)

@@ -20,6 +20,7 @@ def smote(
     seed: int = 42,
     cell_rows: int = CELL_ROWS,
     categorical: tuple[str, ...] = (),
+    trees: int = 0,
 ) -> DataFrame:
     """Training rows plus synthetic rows until every class is as large as the largest.
 
@@ -30,7 +31,8 @@ def smote(
     codes: they take the code of the nearer of the two rows instead of a value
     between two codes. Keys may be text and may repeat: the synthetic rows of a key's
     later rows count on, so (key, copy) is unique among them. Rows without a class are
-    passed through and make no class.
+    passed through and make no class. ``trees`` makes the neighbour search approximate
+    with bounded work per row (see ``nearest_neighbours``).
     """
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).toLocalIterator()}
     known = {value: n for value, n in counts.items() if value is not None}
@@ -40,7 +42,7 @@ def smote(
     for value, rows in sorted(known.items()):
         if rows < largest:
             made = _synthetic(
-                train, value, rows, largest - rows, features, label, key, k, seed, cell_rows, categorical
+                train, value, rows, largest - rows, features, label, key, k, seed, cell_rows, categorical, trees
             )
             out = out.unionByName(made)
     return out
@@ -54,7 +56,9 @@ def _repeat(df: DataFrame, times: Column, name: str, chunk: int = 10_000) -> Dat
     return dealt.withColumn("_at", F.explode(inside)).withColumn(name, F.col("_part") * chunk + F.col("_at")).drop("_part", "_times", "_at")
 
 
-def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_rows, categorical) -> DataFrame:
+def _synthetic(
+    train, value, rows, wanted, features, label, key, k, seed, cell_rows, categorical, trees
+) -> DataFrame:
     if rows < 2:
         raise ValueError(f"class {value!r} has a single row: no neighbour to interpolate to")
     k = min(k, rows - 1)
@@ -74,15 +78,21 @@ def _synthetic(train, value, rows, wanted, features, label, key, k, seed, cell_r
     numbered = stage(numbered.withColumn("ticket", F.when(F.col("index") == 0, first).otherwise(later)), "minority")
     each, rest = divmod(wanted, rows)
     cut = smallest_draw_cuts(numbered.select(F.lit("all").alias("stratum"), F.col("ticket").alias("draw")), {"all": (rest, rows)})
-    distinct, neighbours = nearest_neighbours(groups.select("key", "vec", "copies"), k, cell_rows)
+    distinct, neighbours = nearest_neighbours(groups.select("key", "vec", "copies"), k, cell_rows, trees=trees)
     copies = numbered.withColumn("copies", F.lit(each) + (F.col("ticket") <= F.lit(cut["all"])).cast("int")).where("copies > 0")
     reps = distinct.select("rep", F.md5(F.col("vec").cast("string")).alias("vid"))
     parents = _repeat(copies, F.col("copies"), "made").join(reps, "vid")
     parents = parents.select(
         "key", "vec", "rep", (F.col("index") * (each + 1) + F.col("made") + 1).cast("int").alias("copy")
     )
-    rank = (F.floor(uniform(f"rank{seed}", "key", "copy") * k) + 1).cast("int")
-    drawn = parents.withColumn("rank", rank).join(neighbours, ["rep", "rank"])
+    share = uniform(f"rank{seed}", "key", "copy")
+    if trees:
+        # An approximate search may know fewer than k neighbours of a row, or none: then the row itself serves.
+        known = neighbours.groupBy("rep").agg(F.max("rank").alias("known"))
+        parents = parents.join(known, "rep", "left").withColumn("rank", (F.floor(share * F.coalesce("known", F.lit(1))) + 1).cast("int"))
+        drawn = parents.join(neighbours, ["rep", "rank"], "left").withColumn("neighbour", F.coalesce("neighbour", "vec"))
+    else:
+        drawn = parents.withColumn("rank", (F.floor(share * k) + 1).cast("int")).join(neighbours, ["rep", "rank"])
     gap = uniform(f"gap{seed}", "key", "copy")
     made = drawn.withColumn("gap", gap)
 

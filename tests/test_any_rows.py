@@ -96,6 +96,13 @@ def test_smote_with_repeated_and_missing_keys(spark, key):
     assert all(inside[0][0] <= r["b"] <= inside[0][1] for r in out if r["copy"] > 0)
 
 
+def test_approximate_smote_is_balanced(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i < 60), *rng.normal(size=2).tolist()) for i in range(300)]
+    out = smote(spark.createDataFrame(rows, "k long, y int, a double, b double"), ["a", "b"], "y", "k", cell_rows=4, trees=2)
+    assert {r["y"]: r["count"] for r in out.groupBy("y").count().collect()} == {0: 240, 1: 240}
+
+
 def test_smote_of_many_identical_rows(spark):
     df = spark.range(3000).select(
         F.lit("same").alias("k"), (F.col("id") < 1000).cast("int").alias("y"), F.lit(1.0).alias("a"), (F.col("id") % 2).cast("double").alias("b")
@@ -114,6 +121,30 @@ def test_neighbours_of_text_keys(spark):
     }
 
 
+def test_approximate_neighbours_have_bounded_work_and_good_recall(spark):
+    rng = np.random.default_rng(3)
+    recall = {}
+    for rows in (500, 4000):
+        x = rng.normal(size=(rows, 20)) * np.linspace(3, 0.3, 20)
+        points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "key long, vec array<double>")
+        distinct, found = nearest_neighbours(points, 5, cell_rows=250, trees=10)
+        vectors = {r["rep"]: r["vec"] for r in distinct.collect()}
+        right = total = 0
+        by_rep = collections.defaultdict(list)
+        for r in found.collect():
+            by_rep[r["rep"]].append(r)
+        assert len(by_rep) == rows and all(len(v) == 5 for v in by_rep.values())
+        for rep in list(by_rep)[:200]:
+            own = np.array(vectors[rep])
+            near = np.sort(((x - own) ** 2).sum(1))[1:6]
+            got = sorted(r["distance"] ** 2 for r in by_rep[rep])
+            right += sum(g <= near[-1] * (1 + 1e-9) for g in got)
+            total += 5
+        recall[rows] = right / total
+    # Ten cells of at most 250 rows are looked at per row, whatever the table.
+    assert recall[500] > 0.95 and recall[4000] > 0.6, recall
+
+
 # --- weights, silhouette, csv ---------------------------------------------------------
 
 
