@@ -2,7 +2,8 @@
 
 Every step is an aggregation with map-side combine (smallest neighbour per node)
 and a join back to the links, so a node with millions of links is never gathered in
-one task: the aggregation pre-combines it and the join's hot partition is split.
+one task: the aggregation pre-combines it, and as its result is written before the join
+Spark can split the join's hot partition.
 """
 
 from __future__ import annotations
@@ -32,18 +33,19 @@ def connected_components(links: DataFrame) -> DataFrame:
         state = tuple(totals)
         both = edges.select("u", "v").union(edges.select(v.alias("u"), u.alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest, lowest_path = stage_path(lowest, "lowest")
         large = both.where("v > u").join(lowest, "u").select(v.alias("u"), F.col("m").alias("v")).distinct()
         large, large_path = stage_path(large, "links")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        least, least_path = stage_path(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = (
-            large.join(lowest, "u")
+            large.join(least, "u")
             .where("v <> m")
             .select(v.alias("u"), F.col("m").alias("v"))
-            .union(lowest.select("u", F.col("m").alias("v")))
+            .union(least.select("u", F.col("m").alias("v")))
             .distinct()
         )
         following, following_path = stage_path(small, "links")
-        discard(spark, path, large_path)
+        discard(spark, path, large_path, lowest_path, least_path)
         edges, path = following, following_path
     roots = edges.select(v.alias("node"), v.alias("component")).distinct()
     return edges.select(u.alias("node"), v.alias("component")).union(roots)

@@ -222,7 +222,8 @@ def near_duplicates(
         "near-signatures",
     )
     linkable = signed_rows.where("id is not null and n_shingles > 0")
-    classes = linkable.groupBy("high", "low").agg(F.min("id").alias("rep"))
+    # Written tables stand on the other side of every join with a hot key: Spark then splits it.
+    classes = stage(linkable.groupBy("high", "low").agg(F.min("id").alias("rep")), "near-classes")
 
     # One row per class: the class's smallest id with its buckets and signature.
     reps = (
@@ -237,7 +238,7 @@ def near_duplicates(
         .where("centre < last")
         .select("bucket", "centre")
     )
-    members = stage(banded.join(shared, "bucket"), "near-members")
+    members = stage(banded.join(stage(shared, "near-shared"), "bucket"), "near-members")
     candidates = stage(members.select("id").distinct(), "near-ids")
     signatures = stage(
         linkable.join(classes.select(F.col("rep").alias("id"), "high", "low"), ["id", "high", "low"])
@@ -281,7 +282,7 @@ def near_duplicates(
         .where("low < high")
         .select("bucket")
     )
-    labelled = stage(labelled.join(mixed, "bucket", "left_semi"), "near-mixed")
+    labelled = stage(labelled.join(stage(mixed, "near-buckets"), "bucket", "left_semi"), "near-mixed")
     again = labelled.select("id").distinct()
     longer = map_batches(sets.join(again, "id", "left_semi"), _lengthen(LONG), "id long, signature binary")
     longer = stage(longer.join(signatures.select("id", "buckets"), "id"), "near-long")
