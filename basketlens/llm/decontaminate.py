@@ -1,13 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The n-grams of all test items fill a bit table of fixed size. Every text is read once;
-   runs of words around n-grams that may be an item's become passages.
-2. Document frequencies of the items' n-grams are counted over all passages, and every
-   block of positions of an item keeps its rarest n-gram as a seed, so an edited copy must
-   have lost every one of them to be missed.
-3. Passages and items that share a seed are joined and aligned word by word. The score is
-   matches less edits over the item's length, so copies with replaced, inserted or left-out
-   words are found and chance n-grams are not.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment.
+
+A score is matches less edits. Edits cut the matches of an alignment into at most one run
+more than there are edits, so an alignment that scores ``need`` keeps at least ``need - 1``
+of the item's ``n - 1`` pairs of neighbouring words, and any ``n - need + 1`` pairs of the
+item hold one that it keeps.
+
+1. The pairs of all items fill a bit table of fixed size; one reading of the texts counts
+   how many hold each pair. Every item's ``n - need + 1`` rarest pairs are its seeds, those
+   in no text first, as they cost nothing.
+2. A second reading cuts passages around seeds, as wide to both sides as an alignment of
+   the longest item can reach.
+3. Passages and items that share a seed are joined. Where a passage holds enough of the
+   item's pairs it is aligned word by word, so copies with replaced, inserted or left-out
+   words are found and chance pairs are not.
 """
 
 from __future__ import annotations
@@ -27,8 +32,12 @@ from basketlens.staging import stage
 
 _U = np.uint64
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words of a seed; what an alignment must keep is stated for pairs.
+PAIR = 2
+#: Pair counts a task keeps before it passes them on.
+HELD = 1 << 20
 PASSAGES = "id long, passage string, start long, words binary, grams array<long>"
-ITEMS = "item_id long, words binary, grams array<long>"
+ITEMS = "item_id long, words binary, grams array<long>, seeds int, reach int"
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,50 +63,88 @@ def _grams(words: np.ndarray, size: int) -> np.ndarray:
         return mix(rolled)
 
 
-def _items(size: int):
+def needed(words: int, threshold: float, least_words: int) -> int:
+    """The least score of an item of so many words that counts."""
+    return max(ceil(threshold * words), min(words, least_words))
+
+
+def _reach(words: int, need: int) -> int:
+    """The most passage words of an alignment that scores ``need``: the item's and what may be put in."""
+    return max(0, 2 * words - need)
+
+
+def _items(size: int, threshold: float, least_words: int):
     def run(batches):
         for piece in pieces(batches, "text"):
             words, counts = _words(piece.column(1))
             stops = np.cumsum(counts)
             own = [words[b - n : b] for b, n in zip(stops.tolist(), counts.tolist(), strict=True)]
+            need = [needed(n, threshold, least_words) for n in counts.tolist()]
+            seeds = [max(0, n - k + 1) if n >= size else 0 for n, k in zip(counts.tolist(), need, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column(0),
                     pa.array([w.tobytes() for w in own], pa.binary()),
-                    pa.array([_grams(w, size).view(np.int64) for w in own], pa.list_(pa.int64())),
+                    pa.array([_grams(w, PAIR).view(np.int64) for w in own], pa.list_(pa.int64())),
+                    pa.array(seeds, pa.int32()),
+                    pa.array([_reach(n, k) if s else 0 for n, k, s in zip(counts.tolist(), need, seeds, strict=True)], pa.int32()),
                 ],
-                names=["item_id", "words", "grams"],
+                names=["item_id", "words", "grams", "seeds", "reach"],
             )
 
     return run
 
 
-def _passages(table, bits: int, probes: int, size: int, gap: int, margin: int):
-    """Runs of words around n-grams that the bit table may hold."""
+def _hits(texts: pa.Array, bitmap: np.ndarray, bits: int, probes: int):
+    """(words, words per text, pair at every position, text of each, positions that the bit table may hold)."""
+    words, counts = _words(texts)
+    grams = _grams(words, PAIR)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    hit = owner[: len(grams)] == owner[PAIR - 1 :][: len(grams)]
+    for place in places(grams, bits, probes):
+        hit &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    return words, counts, grams, owner, np.flatnonzero(hit)
+
+
+def _frequencies(table, bits: int, probes: int):
+    """(gram, docs): how many texts hold each pair of the bit table, combined in the task."""
 
     def run(batches):
-        bitmap = table.value
+        held, totals = np.array([], dtype=np.int64), np.array([], dtype=np.int64)
         for piece in pieces(batches, "text"):
-            words, counts = _words(piece.column(1))
-            if len(words) < size:
+            _, _, grams, owner, at = _hits(piece.column(1), table.value, bits, probes)
+            if len(at) == 0:
                 continue
-            grams = _grams(words, size)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            hit = owner[: len(grams)] == owner[size - 1 :]
-            for place in places(grams, bits, probes):
-                hit &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            at = np.flatnonzero(hit)
+            own, number = np.unique(grams[at].view(np.int64), return_inverse=True)
+            once = np.unique(owner[at] * len(own) + number) % len(own)
+            counts = np.concatenate([totals, np.bincount(once, minlength=len(own))])
+            held, number = np.unique(np.concatenate([held, own]), return_inverse=True)
+            totals = np.bincount(number, weights=counts).astype(np.int64)
+            if len(held) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(totals)], names=["gram", "docs"])
+                held, totals = held[:0], totals[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(totals)], names=["gram", "docs"])
+
+    return run
+
+
+def _passages(table, bits: int, probes: int, reach: int):
+    """Words around pairs that the bit table may hold; ``reach`` words on both sides, overlaps are united."""
+
+    def run(batches):
+        for piece in pieces(batches, "text"):
+            words, counts, grams, owner, at = _hits(piece.column(1), table.value, bits, probes)
             if len(at) == 0:
                 continue
             starts = np.concatenate([[0], np.cumsum(counts)])
-            cut = np.concatenate([[True], (np.diff(at) > gap) | (owner[at[1:]] != owner[at[:-1]])])
+            cut = np.concatenate([[True], (np.diff(at) > 2 * reach + PAIR) | (owner[at[1:]] != owner[at[:-1]])])
             edges = np.append(np.flatnonzero(cut), len(at))
             ids = piece.column(0)
             rows = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 text = int(owner[at[a]])
-                begin = max(int(starts[text]), int(at[a]) - margin)
-                end = min(int(starts[text + 1]), int(at[b - 1]) + size + margin)
+                begin = max(int(starts[text]), int(at[a]) - reach)
+                end = min(int(starts[text + 1]), int(at[b - 1]) + PAIR + reach)
                 data = words[begin:end].tobytes()
                 first = begin - int(starts[text])
                 identifier = ids[text].as_py()
@@ -141,24 +188,37 @@ def smith_waterman(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _places(passage: np.ndarray, item: np.ndarray, need: int) -> list[tuple[int, int]]:
+    """Parts of the passage, as wide as an alignment reaches, that hold enough of the item's pairs to score ``need``."""
+    at = np.flatnonzero(np.isin(_grams(passage, PAIR), _grams(item, PAIR)))
+    reach = _reach(len(item), need)
+    parts = np.split(at, np.flatnonzero(np.diff(at) > 2 * reach + PAIR) + 1)
+    return [
+        (max(0, int(p[0]) - reach), min(len(passage), int(p[-1]) + PAIR + reach)) for p in parts if len(p) >= max(1, need - 1)
+    ]
+
+
 def _align(threshold: float, least_words: int):
     def run(batches):
         for piece in pieces(batches, "words", 1 << 22):
             out = []
             for row in piece.to_pylist():
-                passage, item = (np.frombuffer(row[k], dtype=_U) for k in ("words", "item_words"))
-                score, end = smith_waterman(passage, item)
-                if score >= max(ceil(threshold * len(item)), min(len(item), least_words)):
-                    _, back = smith_waterman(passage[:end][::-1], item[::-1])
-                    out.append(
-                        {
-                            "id": row["id"],
-                            "item_id": row["item_id"],
-                            "score": score / len(item),
-                            "start": row["start"] + end - back,
-                            "end": row["start"] + end,
-                        }
-                    )
+                whole, item = (np.frombuffer(row[k], dtype=_U) for k in ("words", "item_words"))
+                need = needed(len(item), threshold, least_words)
+                for first, last in _places(whole, item, need):
+                    passage = whole[first:last]
+                    score, end = smith_waterman(passage, item)
+                    if score >= need:
+                        _, back = smith_waterman(passage[:end][::-1], item[::-1])
+                        out.append(
+                            {
+                                "id": row["id"],
+                                "item_id": row["item_id"],
+                                "score": score / len(item),
+                                "start": row["start"] + first + end - back,
+                                "end": row["start"] + first + end,
+                            }
+                        )
             yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
 
     return run
@@ -178,9 +238,6 @@ def contaminated_passages(
     threshold: float = 0.5,
     least_words: int = 8,
     size: int = 3,
-    block: int = 4,
-    gap: int = 24,
-    margin: int = 24,
     bits: int = 22,
     probes: int = 2,
 ) -> DataFrame:
@@ -188,41 +245,51 @@ def contaminated_passages(
 
     A passage counts when its alignment score reaches ``threshold`` of the item's words and
     ``least_words`` matches (all of a shorter item). Words are compared in lower case
-    with ASCII punctuation stripped; ``start`` and ``end`` count such words. Items with fewer
-    than ``size`` words, null or empty ones have no seed and match nothing; null and empty
-    texts hold nothing. Rows that share an id (also those without one) are one document,
-    equal items are reported each. Empty tables give an empty result.
+    with ASCII punctuation stripped; ``start`` and ``end`` count such words. Every alignment
+    that counts is found. Items with fewer than ``size`` words, null or empty ones match
+    nothing; null and empty texts hold nothing. Rows that share an id (also those without
+    one) are one document, equal items are reported each. Empty tables give an empty result.
     """
+    if size < PAIR or least_words < PAIR:
+        raise ValueError("an alignment that counts must hold two words")
     spark = docs.sparkSession
     items = stage(
         map_batches(
             benchmark.select(
                 F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
             ).distinct(),
-            _items(size),
+            _items(size, threshold, least_words),
             ITEMS,
         ).withColumn("item", F.xxhash64("item_id", "words")),
         "leak-items",
     )
-    grams = stage(
-        items.select("item", F.posexplode("grams").alias("position", "gram")), "leak-grams"
-    )
-    table = fill(grams.select(F.col("gram").alias("key"), F.lit(0).alias("number")).distinct(), bits, probes, 1)
-    bitmap = spark.sparkContext.broadcast(np.packbits(table[:, 0].astype(bool), bitorder="little"))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    passages = stage(map_batches(rows, _passages(bitmap, bits, probes, size, gap, margin), PASSAGES), "leak-passages")
+    items = items.where("seeds > 0")
+
+    def bitmap_of(grams: DataFrame):
+        table = fill(grams.select(F.col("gram").alias("key"), F.lit(0).alias("number")).distinct(), bits, probes, 1)
+        return spark.sparkContext.broadcast(np.packbits(table[:, 0].astype(bool), bitorder="little"))
 
-    hits = passages.select("id", F.explode("grams").alias("gram")).join(grams.select("gram").distinct(), "gram", "left_semi")
-    frequency = hits.distinct().groupBy("gram").agg(F.count("*").alias("docs"))
-    rarest = F.min_by("gram", F.struct(F.coalesce("docs", F.lit(0)), F.col("position")))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    grams = items.select("item", "seeds", F.posexplode("grams").alias("position", "gram"))
+    frequency = (
+        map_batches(rows, _frequencies(bitmap_of(grams), bits, probes), "gram long, docs long")
+        .groupBy("gram")
+        .agg(F.sum("docs").alias("docs"))
+    )
+    ranked = F.sort_array(F.collect_list(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "position", "gram")))
     seeds = (
         grams.join(frequency, "gram", "left")
-        .groupBy("item", F.floor(F.col("position") / block).alias("block"))
-        .agg(rarest.alias("gram"))
-        .select("item", "gram")
+        .groupBy("item", "seeds")
+        .agg(ranked.alias("ranked"))
+        .select("item", F.explode(F.slice("ranked", F.lit(1), F.col("seeds"))).alias("seed"))
+        .where("seed.docs > 0")
+        .select("item", "seed.gram")
         .distinct()
     )
-    shared = passages.select("passage", F.explode("grams").alias("gram")).join(stage(seeds, "leak-seeds"), "gram")
+    seeds = stage(seeds, "leak-seeds")
+    reach = items.agg(F.max("reach")).first()[0] or 0
+    passages = stage(map_batches(rows, _passages(bitmap_of(seeds), bits, probes, reach), PASSAGES), "leak-passages")
+    shared = passages.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram")
     candidates = (
         shared.select("passage", "item")
         .distinct()

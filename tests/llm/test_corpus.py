@@ -337,6 +337,33 @@ def test_leaks_are_found_and_clean_texts_are_left(spark):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows + odd} - {i for i, _ in leaks} - {None, 502}
 
 
+def test_every_alignment_at_the_threshold_is_found(spark):
+    rng = random.Random(14)
+    w = lambda: str(rng.randrange(10**6))
+    items = [(k, [w() for _ in range(n)]) for k, n in enumerate([8, 12, 16, 16, 24, 24, 40, 40, 70, 100])]
+    rows = []
+    for k, words in items:
+        n = len(words)
+        for edits in range(n // 5, n // 2):
+            replaced = list(words)
+            for at in rng.sample(range(n), edits // 2):
+                replaced[at] = w()
+            padded = [x for i, x in enumerate(words) for x in ([x, w()] if i % 2 and i < 2 * edits else [x])]
+            split = [*words[: n // 2], *[w() for _ in range(edits)], *words[n // 2 :]]
+            sixth = [w() if i % 6 == edits % 6 else x for i, x in enumerate(words)]
+            for copy in (replaced, padded, split, sixth):
+                rows.append([*[w() for _ in range(rng.randrange(40))], *copy, *[w() for _ in range(rng.randrange(40))]])
+    rows += [words for _, words in items]
+    want = {
+        (i, k) for i, row in enumerate(rows) for k, words in items
+        if set(row) & set(words) and smith_waterman(np.array(row, "u8"), np.array(words, "u8"))[0] >= max(-(-len(words) // 2), min(len(words), 8))
+    }
+    frame = spark.createDataFrame([(i, " ".join(row)) for i, row in enumerate(rows)], DOC)
+    bench = spark.createDataFrame([(k, " ".join(words)) for k, words in items], "item_id long, text string")
+    got = contaminated_passages(frame, bench).collect()
+    assert {(r["id"], r["item_id"]) for r in got} == want and len(got) == len(want) > 300
+
+
 def test_decontamination_of_nothing(spark):
     docs, bench = spark.createDataFrame([(1, "a b c d")], DOC), spark.createDataFrame([], "item_id long, text string")
     assert contaminated_passages(docs, bench).count() == 0
