@@ -255,6 +255,28 @@ def test_repeated_passages_find_every_exact_repeat(spark):
         assert len(own) >= 50 and (r["share"] < 1 or own == other or set(own) == set(other))
 
 
+def test_repeats_are_linked_through_common_boilerplate(spark):
+    rng = random.Random(15)
+    text = lambda n: [word(rng) for _ in range(n)]
+    rows = []
+    for n in (36, 40, 44, 46):
+        hot = text(n)
+        for _ in range(60):
+            rows.append(text(rng.randrange(5, 40)) + hot + text(rng.randrange(5, 40)))
+        for _ in range(25):
+            k = rng.randrange(51 - n)
+            passage = text(k) + hot + text(50 - n - k)
+            for _ in range(3):
+                rows.append(text(rng.randrange(5, 40)) + passage + text(rng.randrange(5, 40)))
+    rng.shuffle(rows)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    got = repeated_passages(spark.createDataFrame(rows, DOC).repartition(6)).collect()
+    ids, pairs = brute.repeated(rows, 50)
+    assert {i for r in got for i in (r["id"], r["other_id"])} == ids
+    part = brute.components(ids, [(r["id"], r["other_id"]) for r in got])
+    assert all(part[a] == part[b] for a, b in pairs)
+
+
 def test_edited_passages_are_found_and_short_ones_are_not(spark):
     rng = random.Random(12)
     rows, edited = [], set()
