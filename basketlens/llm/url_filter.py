@@ -4,7 +4,7 @@ A rule is a pattern over ``host + path``. Its literal tokens (runs of ASCII lett
 digits that are bounded on both sides in every url the pattern fits) must all occur in a
 url it fits, so it is enough to look for the one that is rarest over the corpus. Url
 tokens fetch candidate rules through a join on that token; only candidates run their
-regular expression. Rules without a bounded token are candidates of every url.
+regular expression, or compare host and path if they are host rules. Rules without a bounded token are candidates of every url.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ class UrlRule:
     tokens: tuple[str, ...]
     #: 1: a host rule, the longest wins and beats patterns; 0: a pattern rule, block beats allow.
     rank: int = 0
+    #: A host rule's host and what the path starts with; they decide, the pattern also fits hosts inside paths.
+    host: str = ""
+    path: str = ""
 
 
 def host_rule(rule: str, verdict: str) -> UrlRule:
@@ -41,7 +44,8 @@ def host_rule(rule: str, verdict: str) -> UrlRule:
     parts = re.findall("[A-Za-z0-9]+", host + tail)
     if parts and re.search("[A-Za-z0-9]$", tail or "."):
         parts = parts[:-1]  # the path may go on inside the last token
-    return UrlRule(rule, f"(?s)^(.*\\.)?{_quoted(host)}{_quoted(tail) if tail else '(/|\\z)'}", verdict, tuple(p.lower() for p in parts), 1)
+    regex = f"(?s)^(.*\\.)?{_quoted(host)}{_quoted(tail) if tail else '(/|\\z)'}"
+    return UrlRule(rule, regex, verdict, tuple(p.lower() for p in parts), 1, host, tail)
 
 
 def pattern_rule(pattern: str, verdict: str) -> UrlRule:
@@ -132,8 +136,8 @@ def judge_urls(
     )
 
     listed = spark.createDataFrame(
-        [(i, r.name, r.regex, r.verdict, r.rank, list(r.tokens)) for i, r in enumerate(rules)],
-        "number long, name string, regex string, rule_verdict string, rank int, tokens array<string>",
+        [(i, r.name, r.regex, r.verdict, r.rank, r.host, r.path, list(r.tokens)) for i, r in enumerate(rules)],
+        "number long, name string, regex string, rule_verdict string, rank int, rule_host string, rule_path string, tokens array<string>",
     )
     literals = listed.select("number", F.explode("tokens").alias("token")).distinct()
     # How many urls hold each rule token, over the whole table.
@@ -148,12 +152,14 @@ def judge_urls(
         .agg(F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), F.col("token"))).alias("token"))
     )
     index = listed.join(rarest, "number", "left").select(
-        F.coalesce("token", F.lit(ALWAYS)).alias("token"), "name", "regex", "rule_verdict", "rank"
+        F.coalesce("token", F.lit(ALWAYS)).alias("token"), "name", "regex", "rule_verdict", "rank", "rule_host", "rule_path"
     )
 
     weight = F.when(F.col("rank") == 1, F.length("name")).otherwise((F.col("rule_verdict") == "block").cast("int"))
+    under = (F.col("host") == F.col("rule_host")) | F.endswith("host", F.concat(F.lit("."), "rule_host"))
+    fits = F.when(F.col("rank") == 1, under & F.startswith("path", "rule_path")).otherwise(F.expr("target rlike regex"))
     candidate = F.when(
-        F.expr("target rlike regex"), F.struct("rank", weight.alias("weight"), "name", "rule_verdict")
+        fits, F.struct("rank", weight.alias("weight"), "name", "rule_verdict")
     )
     judged = (
         exploded.join(index, "token", "left")

@@ -69,6 +69,19 @@ def test_url_rules_by_hand(spark):
     assert judge_urls(frame.limit(0)).count() == 0
 
 
+def test_host_rules_do_not_fit_hosts_inside_paths(spark):
+    urls = [
+        "https://shop.com/a.org/b", "https://cdn.net/x/www.example.org/es/1", "https://web.archive.net/http:/example.org/en/1",
+        "https://x.org/y.com/de/z", "https://shop.com/.org/", "https://a.example.org/es/www.x.com/de/",
+        "https://m.net/a.com/fr/p.jpg", "https://www.com/de/.org/", "https://n.net/a.b",
+    ]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge_urls(frame).collect()
+    assert plain(tuple(r) for r in got) == plain((i, *judged(u)) for i, u in enumerate(urls))
+    bare = judge_urls(frame, [host_rule("a.b", "block"), host_rule("n.net", "block")]).collect()
+    assert {r["id"]: r["rule"] for r in bare if r["rule"]} == {8: "n.net"}
+
+
 def test_url_plan_has_no_python_and_one_wide_shuffle(spark):
     plan = judge_urls(spark.createDataFrame([(1, "x://ab")], "page_id long, url string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan.split("Physical Plan")[-1])
