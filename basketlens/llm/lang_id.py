@@ -64,34 +64,42 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return grams[same], owner[2:][same]
 
 
-def _count(batches):
-    """(lang, gram, n) of labelled texts, combined in the task."""
-    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+def _count(apart: bool):
+    """(lang, gram, n, texts) of labelled texts, combined in the task; texts that hold a trigram are counted if ``apart``."""
 
-    def emit():
-        for lang, (grams, counts) in held.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
-                names=["lang", "gram", "n"],
-            )
-        held.clear()
+    def run(batches):
+        held: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
-    for piece in pieces(batches, "text", SLICE):
-        langs = piece.column(1).dictionary_encode()
-        texts = piece.column(0).to_pylist()
-        grams, owner = trigrams(texts)
-        of = langs.indices.to_numpy()[owner]
-        for number, lang in enumerate(langs.dictionary.to_pylist()):
-            own, counts = np.unique(grams[of == number], return_counts=True)
-            if lang in held:
-                own = np.concatenate([held[lang][0], own])
-                counts = np.concatenate([held[lang][1], counts])
-                own, inverse = np.unique(own, return_inverse=True)
-                counts = np.bincount(inverse, weights=counts).astype(np.int64)
-            held[lang] = own, counts
-        if sum(len(g) for g, _ in held.values()) > HELD:
-            yield from emit()
-    yield from emit()
+        def emit():
+            for lang, (grams, counts, texts) in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts), pa.array(texts)],
+                    names=["lang", "gram", "n", "texts"],
+                )
+            held.clear()
+
+        for piece in pieces(batches, "text", SLICE):
+            langs = piece.column(1).dictionary_encode()
+            grams, owner = trigrams(piece.column(0).to_pylist())
+            of = langs.indices.to_numpy()[owner]
+            for number, lang in enumerate(langs.dictionary.to_pylist()):
+                own, at, counts = np.unique(grams[of == number], return_inverse=True, return_counts=True)
+                texts = counts
+                if apart and len(own):
+                    once = np.unique(owner[of == number] * len(own) + at) % len(own)
+                    texts = np.bincount(once, minlength=len(own))
+                if lang in held:
+                    own, at = np.unique(np.concatenate([held[lang][0], own]), return_inverse=True)
+                    counts, texts = (
+                        np.bincount(at, weights=np.concatenate([old, new])).astype(np.int64)
+                        for old, new in zip(held[lang][1:], (counts, texts), strict=True)
+                    )
+                held[lang] = own, counts, texts
+            if sum(len(g) for g, _, _ in held.values()) > HELD:
+                yield from emit()
+        yield from emit()
+
+    return run
 
 
 @dataclass
@@ -119,7 +127,7 @@ class LanguageFilter:
             found = self.masks[place] if found is None else found & self.masks[place]
         return found
 
-    def decide(self, texts: list[str]) -> tuple[list[str], list[float]]:
+    def decide(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
         grams, owner = trigrams(texts)
         sizes = np.bincount(owner, minlength=len(texts))
         masks = self.lookup(grams)
@@ -141,7 +149,7 @@ class LanguageFilter:
             else:
                 names.append(self.languages[best[i]])
                 scores.append(float(min(1.0, top[i] / total[i])))
-        return names, scores
+        return names, scores, (top / np.maximum(sizes, 1)).tolist()
 
 
 def held_out(identifier: Column) -> Column:
@@ -157,16 +165,21 @@ def learn_languages(
     bits: int = 20,
     probes: int = 3,
     max_languages: int = 1024,
+    least_texts: int = 1,
 ) -> LanguageFilter | None:
     """Learn from every row of ``docs`` with a text and a language; None where there is none.
 
     The filter has ``2 ** bits`` places; more than ``max_languages`` labels are an error, as
-    a label column with that many values does not hold languages.
+    a label column with that many values does not hold languages. With ``least_texts`` of 2 a
+    trigram is learned only if another text of the language holds it too, so that no text
+    vouches for itself.
     """
     labelled = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.where("text is not null and lang is not null")
     counts = stage(
-        map_batches(labelled, _count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")),
+        map_batches(labelled, _count(least_texts > 1), "lang string, gram long, n long, texts long")
+        .groupBy("lang", "gram")
+        .agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")),
         "lang-grams",
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -180,36 +193,38 @@ def learn_languages(
     numbered = docs.sparkSession.createDataFrame(
         [(r["lang"], i, float(r["total"])) for i, r in enumerate(known)], "lang string, number int, total double"
     )
-    rates = counts.join(F.broadcast(numbered), "lang").select("gram", "number", (F.col("n") / F.col("total")).alias("rate"))
+    rates = counts.join(F.broadcast(numbered), "lang").select(
+        "gram", "number", "texts", (F.col("n") / F.col("total")).alias("rate")
+    )
     most = rates.groupBy("gram").agg(F.max("rate").alias("most"))
-    members = rates.join(most, "gram").where(F.col("rate") >= share * F.col("most"))
+    members = rates.join(most, "gram").where((F.col("rate") >= share * F.col("most")) & (F.col("texts") >= least_texts))
     words = (len(languages) + 63) // 64
     masks = fill(members.select(F.col("gram").alias("key"), "number"), bits, probes, words)
     return LanguageFilter(languages, fallback, masks, bits, probes)
 
 
 def detect_languages(docs: DataFrame, learned: LanguageFilter | None, text_col: str = "text") -> DataFrame:
-    """(lang_pred, score, other): the language of every whole text; ``other`` holds all columns of ``docs``.
+    """(lang_pred, score, support, other): the language of every whole text; ``other`` holds all columns of ``docs``.
 
     Texts that are null or have no letter are ``und`` with score 0, as is every text when
     nothing was learned. A text whose trigrams no language holds gets the language with the
     most learned text and score 0. Ties go to the first language by name. The score is the
-    winner's share of all corrected counts.
+    winner's share of all corrected counts, the support its part of the text's trigrams.
     """
     rows = docs.select(
         F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("other")
     )
     kind = rows.schema["other"].dataType.simpleString()
     if learned is None:
-        return rows.select(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), "other")
+        return rows.select(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("support"), "other")
     shared = docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
         for piece in pieces(batches, "text", SLICE):
-            names, scores = shared.value.decide([t or "" for t in piece.column(0).to_pylist()])
+            names, scores, support = shared.value.decide([t or "" for t in piece.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores, pa.float64()), piece.column(1)],
-                names=["lang_pred", "score", "other"],
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(support, pa.float64()), piece.column(1)],
+                names=["lang_pred", "score", "support", "other"],
             )
 
-    return map_batches(rows, run, f"lang_pred string, score double, other {kind}")
+    return map_batches(rows, run, f"lang_pred string, score double, support double, other {kind}")

@@ -18,10 +18,17 @@ from basketlens.llm.near_dedup import near_duplicates
 from basketlens.staging import stage
 
 
+#: The part of a text's trigrams that its language must hold: random letters reach 0.13, texts of the given tables 0.55 at least.
+SUPPORT = 0.3
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be identified; null texts and texts without a letter go."""
-    found = detect_languages(docs, learn_languages(docs))
-    return found.where(F.col("lang_pred") != UNKNOWN).select("other.*")
+    """Documents in which a language can be identified; null texts, texts without a letter and texts of no language go.
+
+    A language counts if it holds ``SUPPORT`` of the text's trigrams, learned from other texts too.
+    """
+    found = detect_languages(docs, learn_languages(docs, least_texts=2))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("support") >= SUPPORT)).select("other.*")
 
 
 def deduplicate_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,16 @@ def test_pipeline_matches_plain_stages(spark):
     assert all(abs(taken[s] - target[s]) <= 64 for s in target)
 
 
+def test_texts_of_no_language_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(3)
+    noise = [" ".join("".join(rng.choice(list(string.ascii_lowercase), 6)) for _ in range(n)) for n in (5, 40)]
+    foreign = ["Это русский текст о погоде", "Καλημέρα κόσμε, τι κάνεις", "これは日本語の文章です"]
+    odd = [(900_000 + i, t, lang, "src0", len(t)) for i, t in enumerate(noise + foreign) for lang in ("en", None)]
+    out = corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame([(2 * r[0] + (r[2] is None), *r[1:]) for r in odd], docs.schema)), SF)
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, function in corpus_pipeline.STAGES:
