@@ -1,7 +1,8 @@
-"""Fixed-size bit tables filled by all partitions.
+"""Bit tables filled by all partitions.
 
-A table has ``2 ** bits`` places whatever the data, so what reaches the driver and is
-broadcast is bounded by that parameter; more keys only make false positives likelier.
+A table has ``2 ** bits`` places, so what reaches the driver and is broadcast is bounded by
+that parameter. More keys make false positives likelier: callers that drop them later only
+pay for them, others choose ``bits`` from the number of keys.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ def places(keys: np.ndarray, bits: int, probes: int) -> list[np.ndarray]:
         return [((mixed + step * _U(k)) >> _U(64 - bits)).astype(np.int64) for k in range(probes)]
 
 
-def fill(keys: DataFrame, bits: int, probes: int, words: int) -> np.ndarray:
-    """(2 ** bits, words) masks from ``keys`` (key long, number int): bit ``number`` at each place of the key."""
+def fill(keys: DataFrame, bits: int, probes: int, words: int, kind: type = _U) -> np.ndarray:
+    """(2 ** bits, words) masks of ``kind`` from ``keys`` (key long, number int): bit ``number`` at each place of the key."""
 
     def run(batches):
         for batch in batches:
@@ -39,6 +40,6 @@ def fill(keys: DataFrame, bits: int, probes: int, words: int) -> np.ndarray:
 
     marked = map_batches(keys.select("key", "number"), run, "place long, word long, mask long")
     rows = marked.groupBy("place", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    table = np.zeros((1 << bits, words), dtype=_U)
+    table = np.zeros((1 << bits, words), dtype=kind)
     table[rows.column("place").to_numpy(), rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(_U)
     return table

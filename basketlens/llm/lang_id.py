@@ -11,6 +11,7 @@ positives that the fill of the language's slice lets expect, and the largest dec
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, log1p, log2
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +119,7 @@ class LanguageFilter:
 
     @staticmethod
     def slice(masks: np.ndarray, number: int) -> np.ndarray:
-        return (masks[:, number // 64] >> _U(number % 64)).astype(np.uint8) & 1
+        return (masks[:, number // 64] >> masks.dtype.type(number % 64)).astype(np.uint8) & 1
 
     def lookup(self, grams: np.ndarray) -> np.ndarray:
         """The mask of languages that hold each trigram."""
@@ -166,10 +167,13 @@ def learn_languages(
     probes: int = 3,
     max_languages: int = 1024,
     least_texts: int = 1,
+    false_positive: float = 0.01,
 ) -> LanguageFilter | None:
     """Learn from every row of ``docs`` with a text and a language; None where there is none.
 
-    The filter has ``2 ** bits`` places; more than ``max_languages`` labels are an error, as
+    The filter has ``2 ** bits`` places, or as many more as the language with the most
+    trigrams needs for ``false_positive``; a place has a bit per language, in bytes of 1, 2, 4
+    or 8 and multiples of 8. More than ``max_languages`` labels are an error, as
     a label column with that many values does not hold languages. With ``least_texts`` of 2 a
     trigram is learned only if another text of the language holds it too, so that no text
     vouches for itself.
@@ -198,8 +202,13 @@ def learn_languages(
     )
     most = rates.groupBy("gram").agg(F.max("rate").alias("most"))
     members = rates.join(most, "gram").where((F.col("rate") >= share * F.col("most")) & (F.col("texts") >= least_texts))
+    members = stage(members.select(F.col("gram").alias("key"), "number"), "lang-members")
+    most = members.groupBy("number").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    # Independent probes meet set places only, at this rate, when a slice has this many places.
+    bits = max(bits, ceil(log2(max(1, -probes * most / log1p(-(false_positive ** (1 / probes)))))))
     words = (len(languages) + 63) // 64
-    masks = fill(members.select(F.col("gram").alias("key"), "number"), bits, probes, words)
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(languages) <= np.iinfo(k).bits), _U)
+    masks = fill(members, bits, probes, words, kind)
     return LanguageFilter(languages, fallback, masks, bits, probes)
 
 

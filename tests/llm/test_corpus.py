@@ -166,6 +166,16 @@ def test_language_lookups_return_all_languages(spark):
     assert len(got) == len(odd) and {r["score"] for r in got if r["lang_pred"] == "und"} == {0.0}
 
 
+def test_filter_grows_with_the_trigrams(spark):
+    rng = random.Random(16)
+    text = lambda low: "".join(chr(rng.randrange(low, low + 2000)) for _ in range(3000))
+    rows = [(text(0x4E00), "zh"), (text(0xAC00), "ko"), ("plain words of a third language", "en")]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    learned = learn_languages(frame, bits=10)
+    assert 0 < learned.false_positive.max() < 0.011 and learned.masks.dtype == np.uint8
+    assert detect_languages(frame, learned).where("lang_pred <> other.lang").count() == 0
+
+
 def test_languages_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert learn_languages(empty) is None
