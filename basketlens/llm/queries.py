@@ -12,6 +12,7 @@ from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.pii import personal_data
+from basketlens.llm.simhash import simhash_duplicates
 from basketlens.llm.substring import repeated_passages
 from basketlens.llm.url_filter import RULES, judge_urls
 from basketlens.llm.warc import BASE32, archive_round_trip
@@ -210,3 +211,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op11_simhash_near_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
