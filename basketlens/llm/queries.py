@@ -9,6 +9,7 @@ from basketlens.llm.decontaminate import contaminated_passages
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.lang_id import detect_languages, held_out, learn_languages
 from basketlens.llm.line_dedup import deduplicate_lines
+from basketlens.llm.merkle import merkle_manifest
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.pii import personal_data
@@ -217,3 +218,77 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+#: Entries of the CRC-32 table, and the checksum of an ASCII text, for DuckDB.
+SQL_CRC_TABLE = """
+    SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crcs
+    FROM range(256) t(b)"""
+
+
+def sql_crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT),
+                               lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+def _sql_leaf(*fields: str) -> str:
+    texts = [f"({f})::VARCHAR" for f in fields]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({t})) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+def _sql_tree(nodes: str) -> str:
+    """All nodes above those of level 0, pairs hashed while several remain."""
+    return f"""
+        SELECT tree, 0 AS level, pos, n, digest FROM {nodes}
+        UNION ALL
+        SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM {nodes}_all WHERE n > 1 GROUP BY tree, level, pos // 2, n"""
+
+
+def _sql_walk(start: str, nodes: str, name: str) -> str:
+    """From a node to its top, collecting siblings and folding."""
+    return f"""
+        SELECT row, tree, 0 AS level, pos, n, proof, folded FROM {start}
+        UNION ALL
+        SELECT w.row, w.tree, w.level + 1, w.pos // 2, (w.n + 1) // 2, w.proof || coalesce(s.digest, ''),
+               sha256(CASE WHEN w.pos % 2 = 0 THEN w.folded || coalesce(s.digest, '') ELSE s.digest || w.folded END)
+        FROM {name} w LEFT JOIN {nodes} s ON s.tree IS NOT DISTINCT FROM w.tree AND s.level = w.level AND s.pos = xor(w.pos, 1)
+        WHERE w.n > 1"""
+
+
+@query(
+    "op13_merkle_manifest",
+    f"""
+    WITH RECURSIVE crc AS ({SQL_CRC_TABLE}),
+    d AS (SELECT *, {_sql_leaf("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+                 CASE WHEN {sql_crc32("doc_id::VARCHAR")} % 7 = 0 THEN 1 ELSE 0 END AS more FROM documents, crc),
+    leaves AS (SELECT row_number() OVER () AS row, doc_id, lang AS tree, leaf AS digest,
+                      row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+                      {_sql_leaf("doc_id", "source", "lang", "n_chars + more", "text")} AS tampered FROM d),
+    leaves_all AS ({_sql_tree("leaves")}),
+    tops AS (SELECT 0 AS tree, tree AS lang, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+             FROM leaves_all WHERE n = 1),
+    tops_all AS ({_sql_tree("tops")}),
+    begun AS (SELECT row, tree, pos, n, '' AS proof, tampered AS folded FROM leaves),
+    walk AS ({_sql_walk("begun", "leaves_all", "walk")}),
+    joined AS (SELECT w.row, 0 AS tree, t.pos, t.n, w.proof, w.folded FROM walk w JOIN tops t ON t.lang IS NOT DISTINCT FROM w.tree WHERE w.n = 1),
+    climb AS ({_sql_walk("joined", "tops_all", "climb")})
+    SELECT l.doc_id, l.digest AS leaf, t.digest AS subroot, r.digest AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root,
+           c.folded = r.digest AS verified
+    FROM leaves l JOIN climb c ON c.row = l.row AND c.n = 1 JOIN tops t ON t.lang IS NOT DISTINCT FROM l.tree
+    CROSS JOIN (SELECT digest FROM tops_all WHERE n = 1) r
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle_manifest(table(spark, sf_dir, "documents"), replaced={"n_chars": more})
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.concat_ws("", "siblings").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
