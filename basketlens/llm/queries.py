@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm.common import table
+from basketlens.llm.conv_repair import conversation_digests, repair_conversations
 from basketlens.llm.decontaminate import contaminated_passages
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.lang_id import detect_languages, held_out, learn_languages
@@ -292,3 +293,79 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+def damage_conversations(turns: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` dropped, emptied, cut, repeated or renamed by a checksum of conversation and turn; null is one space."""
+    said = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(said["conv_id"], F.lit(":"), said["turn"]).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(said["text"], "[.!?]", "")).otherwise(said["text"])
+    return (
+        turns.withColumn("kind", kind)
+        .where("kind <> 0")
+        .withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(said["role"]).alias("role"), text.alias("text"))
+    )
+
+
+@query(
+    "op12_conversation_repair",
+    f"""
+    WITH RECURSIVE crc AS ({SQL_CRC_TABLE}),
+    told AS (SELECT conv_id, turn, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name,
+                    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+    named AS (SELECT told.*, ({sql_crc32("name")} % 20)::INT AS kind FROM told, crc),
+    damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                       CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                       unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+                FROM named WHERE kind <> 0),
+    placed AS (SELECT *, row_number() OVER conv AS i, lag(left(role, 1)) OVER conv AS before,
+                      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+               FROM damaged WINDOW conv AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+    faults AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+                              WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+    counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                      count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                      count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                      count(*) FILTER (WHERE i > 1 AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+               FROM faults GROUP BY conv_id),
+    edits(x, y, letter, price, needs, said) AS (VALUES
+        ('E', 'E', 'D', 2, '', ''), ('S', 'S', 'D', 2, '', ''), ('U', 'U', 'D', 2, '', ''), ('A', 'A', 'D', 2, '', ''),
+        ('E', 'S', 'K', 0, 's', ''), ('E', 'U', 'K', 0, 'u', ''), ('S', 'U', 'K', 0, 'u', ''), ('A', 'U', 'K', 0, 'u', ''), ('U', 'A', 'K', 0, 'a', ''),
+        ('E', 'U', 'R', 1, '', 'user'), ('S', 'U', 'R', 1, '', 'user'), ('A', 'U', 'R', 1, '', 'user'), ('U', 'A', 'R', 1, '', 'assistant')),
+    gifts(y, z, letters, price, lines) AS (VALUES
+        ('E', 'E', '', 0, ''), ('S', 'S', '', 0, ''), ('U', 'U', '', 0, ''), ('A', 'A', '', 0, ''),
+        ('E', 'U', 'I', 5, 'user:' || chr(10)), ('S', 'U', 'I', 5, 'user:' || chr(10)), ('A', 'U', 'I', 5, 'user:' || chr(10)),
+        ('U', 'A', 'I', 5, 'assistant:' || chr(10)),
+        ('E', 'A', 'II', 10, 'user:' || chr(10) || 'assistant:' || chr(10)), ('S', 'A', 'II', 10, 'user:' || chr(10) || 'assistant:' || chr(10))),
+    ways AS (
+        SELECT c.conv_id, 0 AS i, g.z AS state, g.price AS cost, g.letters AS audit, g.lines AS lines FROM counts c, gifts g WHERE g.y = 'E'
+        UNION ALL
+        SELECT conv_id, i, state, best.cost, best.audit, best.lines FROM (
+            SELECT w.conv_id, f.i, g.z AS state,
+                   min(struct_pack(cost := w.cost + e.price + g.price + CASE WHEN e.letter <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END,
+                                   audit := w.audit || e.letter || g.letters,
+                                   lines := w.lines || CASE WHEN e.letter = 'D' THEN '' ELSE CASE e.letter WHEN 'K' THEN f.role ELSE e.said END
+                                                       || ':' || f.text || chr(10) END || g.lines)) AS best
+            FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+            JOIN edits e ON e.x = w.state AND (e.needs = '' OR e.needs = left(f.role, 1)) AND (e.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+            JOIN gifts g ON g.y = e.y
+            GROUP BY w.conv_id, f.i, g.z)),
+    best AS (SELECT w.conv_id, min(struct_pack(cost := w.cost, audit := w.audit, lines := w.lines)) AS way
+             FROM ways w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i WHERE w.state IN ('E', 'A') GROUP BY w.conv_id)
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+           coalesce(way.audit, '') AS audit, sha256(coalesce(left(way.lines, length(way.lines) - 1), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repair = repair_conversations(damage_conversations(turns))
+    digests = conversation_digests(repair.rows).withColumnRenamed("conv", "c")
+    every = turns.select("conv_id").distinct()
+    found = every.join(repair.report, F.col("conv_id").eqNullSafe(F.col("conv")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", none).alias("repaired_sha256"))
