@@ -102,7 +102,10 @@ def whatif_rules(wb):
         KEY,
         percent.between(0, 100).alias("percent"),
         ((F.col("churn_predicted") == (percent >= 50).cast("int")) | (F.abs(percent - 50) <= 0.1)).alias("decided"),
-        (F.col("closeness")[F.col("segment")] == 100.0).alias("closest"),
+        # Closeness is measured on the distances as shown: where those are all equal, none is nearer.
+        (
+            F.col("closeness")[F.col("segment")] == F.when(F.array_min("distances") < F.array_max("distances"), 100.0).otherwise(0.0)
+        ).alias("closest"),
         (F.element_at("actions", -1) == F.concat(F.lit("adapt_to_segment_"), F.col("segment"))).alias("advised"),
     )
 
