@@ -14,12 +14,14 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from basketlens.operators.clustering import best_k, silhouette
+from basketlens.operators.clustering import best_k
 from basketlens.operators.evaluate import roc_auc
+from basketlens.operators.kmeans import kmeans_sweep
 from basketlens.operators.scaling import fill_medians, fit_scaler, impute, train_medians, with_class_weight
 from basketlens.operators.select import regression_inputs
 from basketlens.operators.split import random_split, stratified_split
@@ -75,14 +77,22 @@ def projection(df: DataFrame, model: PipelineModel, keep: tuple[str, ...]) -> Da
     return model.transform(df).select(*keep, both[0].alias("pc1"), both[1].alias("pc2"))
 
 
+def segment_model(spark: SparkSession, centres: np.ndarray, column: str = "pca") -> KMeansModel:
+    """A model with these centres: with as many clusters as distinct points, a fit keeps the points."""
+    distinct = np.unique(centres, axis=0)
+    points = spark.createDataFrame([(Vectors.dense(c),) for c in distinct], [column])
+    return KMeans(k=len(distinct), initMode="random", maxIter=1, seed=1, featuresCol=column, predictionCol="cluster").fit(points)
+
+
+def _arrays(vectors: DataFrame, column: str) -> DataFrame:
+    keys = [c for c in vectors.columns if c != column]
+    return vectors.select(F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("row"), vector_to_array(column).alias("x"))
+
+
 def fit_segments(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, column: str = "pca") -> KMeansModel:
-    """K-Means with the lowest inertia of ``restarts`` seeds."""
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, maxIter=300, tol=1e-4, seed=seed + i, featuresCol=column, predictionCol="cluster").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    """K-Means with the lowest inertia of ``restarts`` starts; the other columns of ``vectors`` name the row."""
+    sweep = kmeans_sweep(_arrays(vectors, column), "row", F.col("x"), range(k, k + 1), restarts, seed, score=False)
+    return segment_model(vectors.sparkSession, sweep.best(k).centres, column)
 
 
 @dataclass(frozen=True)
@@ -109,27 +119,21 @@ def side_by_side(tasks: list[Callable]) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def sweep_segments(vectors: DataFrame, ks: range = range(2, 9), restarts: int = 10, seed: int = 42) -> Segmentation:
+def sweep_segments(vectors: DataFrame, ks: range = range(2, 9), restarts: int = 10, seed: int = 42, column: str = "pca") -> Segmentation:
     """Inertia and silhouette of all rows per k; the model of the best silhouette.
 
-    Every fit scans the same written vector table, kept in memory while it lasts.
+    The starts of every k go forward together: a round is one scan of the written vector
+    table, kept in memory while it lasts. The other columns of ``vectors`` name the row.
     """
-    table = gathered(vectors).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fitted(k: int) -> tuple[KMeansModel, float]:
-        model = fit_segments(table, k, restarts, seed)
-        labelled = model.transform(table).withColumn("pca", vector_to_array("pca"))
-        return model, silhouette(labelled, "pca", "cluster").first()["silhouette"]
-
+    table = gathered(stage(_arrays(vectors, column), "points")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        table.count()
-        found = dict(zip(ks, side_by_side([lambda k=k: fitted(k) for k in ks]), strict=True))
+        sweep = kmeans_sweep(table, "row", F.col("x"), ks, restarts, seed)
     finally:
         table.unpersist()
-    rows = [(k, float(model.summary.trainingCost), width) for k, (model, width) in found.items()]
-    scores = vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    spark = vectors.sparkSession
+    scores = spark.createDataFrame(sweep.scores, "k int, inertia double, silhouette double")
     chosen = best_k(scores).first()["k"]
-    return Segmentation(scores, chosen, found[chosen][0])
+    return Segmentation(scores, chosen, segment_model(spark, sweep.best(chosen).centres, column))
 
 
 def _vectors(df: DataFrame, features: list[str], label: str, weight: bool) -> DataFrame:

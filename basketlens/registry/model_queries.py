@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions import whatif
 from basketlens.operators import clustering
+from basketlens.operators.kmeans import kmeans_sweep
 from basketlens.plans import report, score, train
 from basketlens.registry.base_sql import C360, CLUSTERED, SCORED, SPEND
 from basketlens.registry import feature_queries  # noqa: F401  registers the what-if SQL used below
@@ -39,6 +40,63 @@ def sweep(wb):
     return wb.trained.segmentation.scores
 
 
+#: Sizes and seeds of the fits that SQL repeats.
+_KS, _SEEDS = (2, 3, 4), (42, 43)
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Lloyd's rounds of all runs at once: rows to their nearest centre, centres to the mean of their rows."""
+    runs = ", ".join(f"({k}, {s})" for k in _KS for s in _SEEDS)
+    return f"""e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+    runs(k, seed) AS (VALUES {runs}),
+    lloyd AS (
+        SELECT 0 AS round, k, seed, place AS c, x AS centre
+        FROM runs JOIN (SELECT s.seed, x, row_number() OVER (PARTITION BY s.seed ORDER BY md5('kmeans' || s.seed || '|' || vec_id), vec_id) AS place
+                        FROM e, (SELECT DISTINCT seed FROM runs) s) USING (seed) WHERE place <= k
+        UNION ALL
+        SELECT round + 1, k, seed, c, list(v ORDER BY i) FROM (
+            SELECT round, k, seed, c, i, avg(x[i]) AS v FROM (
+                SELECT *, unnest(range(1, 65)) AS i FROM (
+                    SELECT round, k, seed, vec_id, any_value(x) AS x, arg_min(c, struct_pack(d := list_distance(x, centre), c := c)) AS c
+                    FROM lloyd, e WHERE round < {rounds} GROUP BY round, k, seed, vec_id))
+            GROUP BY round, k, seed, c, i)
+        GROUP BY round, k, seed, c),
+    placed AS (SELECT k, seed, vec_id, arg_min(c, struct_pack(d := list_distance(x, centre), c := c)) AS c, min(list_distance(x, centre)) AS d
+               FROM lloyd, e WHERE round = {rounds} GROUP BY k, seed, vec_id)"""
+
+
+def _runs(wb):
+    table = wb.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    return kmeans_sweep(table, "vec_id", F.col("x"), _KS, len(_SEEDS), _SEEDS[0], tolerance=0.0, start="draws")
+
+
+@query(
+    "ml_kmeans_runs",
+    f"WITH RECURSIVE {_lloyd_sql(60)} SELECT k, seed, round(sum(d * d), 4) AS inertia FROM placed GROUP BY k, seed",
+)
+def kmeans_runs(wb):
+    """Inertia of every run of a sweep, from the same first centres."""
+    rows = [(r.k, r.seed, round(float(r.inertia), 4)) for r in _runs(wb).runs]
+    return wb.spark.createDataFrame(rows, "k int, seed int, inertia double")
+
+
+@query(
+    "ml_kmeans_centres",
+    f"""WITH RECURSIVE {_lloyd_sql(60)}, sums AS (SELECT k, seed, sum(d * d) AS inertia FROM placed GROUP BY k, seed),
+    best AS (SELECT k, arg_min(seed, struct_pack(i := inertia, s := seed)) AS seed FROM sums GROUP BY k),
+    own AS (SELECT k, list_transform(centre, lambda v: round(v, 5)) AS centre FROM lloyd JOIN best USING (k, seed) WHERE round = 60)
+    SELECT k, (dense_rank() OVER (PARTITION BY k ORDER BY centre) - 1)::INTEGER AS centre, i::INTEGER AS dimension, v + 0.0 AS value
+    FROM (SELECT k, centre, unnest(range(64)) AS i, unnest(centre) AS v FROM own)""",
+)
+def kmeans_centres(wb):
+    """Centres of the best start of every k, in the order of their values."""
+    sweep, rows = _runs(wb), []
+    for k in _KS:
+        centres = sorted([round(float(v), 5) + 0.0 for v in c] for c in sweep.best(k).centres)
+        rows += [(k, c, i, v) for c, own in enumerate(centres) for i, v in enumerate(own)]
+    return wb.spark.createDataFrame(rows, "k int, centre int, dimension int, value double")
+
+
 @query("ml_segments")
 def segment_labels(wb):
     rotated = train.rotated(wb.prepared.test, wb.trained.components)
