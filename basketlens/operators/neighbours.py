@@ -1,11 +1,13 @@
 """Exact nearest neighbours of every row within a table, without comparing all pairs.
 
 Identical vectors are first combined into one with a count, so a large group of
-copies is a single row. Space is then cut into cells of bounded size. A cell is
-searched by one task; the distance to a row's provisional k-th neighbour tells
-which other cells can still hold a closer one, and the row visits just those.
-Visitors of a popular cell are spread over several tasks. The cuts only steer the
-work: the result is the exact one for any cuts.
+copies is a single row. The others lie in blocks of bounded size of a metric index
+(``basketlens.operators.pivots``). A block is searched by one task; the distance to a
+row's provisional k-th neighbour tells which other blocks can still hold a closer one.
+A row visits the most promising of them first, and the rest with the smaller distance
+that it knows then. Visitors of a popular block are spread over several tasks. The
+index only steers the work: the result is the exact one for any blocks, and nothing
+that grows with the table is held by the driver or broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlens.functions.hashing import uniform
 from basketlens.operators.ordering import running_totals
+from basketlens.operators.pivots import SLACK, References, block_pairs, choose_references, least_distances, place, rings
 from basketlens.shipping import ship
 from basketlens.staging import stage
 
@@ -27,7 +30,9 @@ SAMPLE_ROWS = 20_000
 VISIT_ROWS = 20_000
 MAX_BOX_NUMBERS = 100_000_000  # 800 MB of cell bounds held by the driver and each worker
 BLOCK = 1_000_000  # distances computed at a time
-SLACK = 1 + 1e-9  # keeps rounding from ruling out a cell at exactly the radius
+#: Rings that a task compares its rows with, and blocks that a row visits before its radius is taken again.
+RINGS = 8192
+FIRST_VISITS = 4
 
 
 class _Cells:
@@ -151,17 +156,8 @@ def _nearest(d2: np.ndarray, k: int) -> np.ndarray:
     return near[np.argsort(d2[near], kind="stable")][:k]
 
 
-def _box_distance(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Squared distance of points (rows) to boxes (columns)."""
-    out = np.zeros((len(x), len(lo)))
-    for j in range(x.shape[1]):
-        gap = np.maximum(lo[None, :, j] - x[:, j, None], x[:, j, None] - hi[None, :, j])
-        out += np.maximum(gap, 0.0) ** 2
-    return out
-
-
-# What a search emits: neighbour candidates (q_*, d2) and visits still to make (cell, radius, vec).
-FOUND_SCHEMA = "rep long, q_rep long, q_copies long, d2 double, cell long, radius double, vec array<double>"
+# What a block's search emits: neighbour candidates (q_*, d2), and rows that ask other blocks (radius, vec).
+FOUND_SCHEMA = "rep long, q_rep long, q_copies long, d2 double, radius double, vec array<double>, cell long"
 
 
 def _candidates(found: list[tuple[int, np.ndarray, np.ndarray]], reps: np.ndarray, copies: np.ndarray) -> pd.DataFrame:
@@ -252,6 +248,110 @@ def _approximate(distinct: DataFrame, d: int, k: int, cell_rows: int, trees: int
     return both.groupBy("rep", "q_rep").agg(F.min("q_copies").alias("q_copies"), F.min("d2").alias("d2"))
 
 
+def _own_block(placed: DataFrame, k: int) -> DataFrame:
+    """Candidates of every row from its own block, and its radius if another block may hold a closer row."""
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        x, reps, copies = _matrix(pdf["vec"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
+        radius = np.full(len(x), np.inf)
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        step = max(1, BLOCK // len(x))
+        for start in range(0, len(x), step):
+            for offset, d2 in enumerate(_squared(x[start : start + step], x)):
+                i = start + offset
+                missing = k - (copies[i] - 1)
+                if missing <= 0:
+                    radius[i] = -1.0
+                    continue
+                d2[i] = np.inf
+                near = _nearest(d2, k)
+                near = near[np.isfinite(d2[near])]
+                reach = np.flatnonzero(np.cumsum(copies[near]) >= missing)
+                if len(reach):
+                    near = near[: reach[0] + 1]
+                    radius[i] = d2[near[-1]]
+                found.append((reps[i], near, d2[near]))
+        asks = radius >= 0
+        out = [
+            _candidates(found, reps, copies).assign(radius=np.nan, vec=None),
+            pd.DataFrame({"rep": reps[asks], "q_rep": pd.NA, "q_copies": pd.NA, "d2": np.nan, "radius": radius[asks], "vec": list(x[asks])}),
+        ]
+        numbers = {"q_rep": "Int64", "q_copies": "Int64"}
+        return pd.concat([f.astype(numbers) for f in out if len(f)] or [out[0].astype(numbers)]).assign(cell=int(pdf["cell"].iloc[0]))
+
+    return stage(placed.groupBy("cell").applyInPandas(search, FOUND_SCHEMA), "near")
+
+
+def _visits(asks: DataFrame, pairs: DataFrame, references: References) -> DataFrame:
+    """(cell, rep, radius, vec, away): the blocks that may hold a row within a row's radius, by their rings.
+
+    ``away`` is the least squared distance that the rings leave possible. A block's list of others is
+    dealt over tasks by ``RINGS``.
+    """
+    parts = pairs.groupBy("block").agg(F.ceil(F.count("*") / RINGS).cast("int").alias("tasks"))
+    lists = pairs.join(parts, "block").withColumn("task", F.pmod(F.xxhash64("other"), F.col("tasks")).cast("int"))
+    rows = asks.withColumnRenamed("cell", "block").join(parts, "block")
+    rows = rows.withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+
+    def choose(guests: pd.DataFrame, rings_of: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"cell": [], "rep": [], "radius": [], "vec": [], "away": []})]
+        if len(guests) and len(rings_of):
+            x, limit = _matrix(guests["vec"]), np.sqrt(guests["radius"].to_numpy())
+            ends = [rings_of[c].to_numpy() for c in ("cell", "near", "far")] + [_matrix(rings_of[c]) for c in ("low", "high")]
+            step = max(1, BLOCK // len(rings_of))
+            for start in range(0, len(x), step):
+                gap = least_distances(x[start : start + step], references, *ends)
+                i, b = np.nonzero(gap <= (limit[start : start + step] * SLACK)[:, None])
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "cell": rings_of["other"].to_numpy()[b],
+                            "rep": guests["rep"].to_numpy()[start + i],
+                            "radius": guests["radius"].to_numpy()[start + i],
+                            "vec": list(x[start + i]),
+                            "away": gap[i, b] ** 2,
+                        }
+                    )
+                )
+        return pd.concat([f for f in out if len(f)] or out[:1])
+
+    return (
+        rows.select("block", "task", "rep", "radius", "vec")
+        .groupBy("block", "task")
+        .cogroup(lists.select("block", "task", "other", "cell", "near", "far", "low", "high").groupBy("block", "task"))
+        .applyInPandas(choose, "cell long, rep long, radius double, vec array<double>, away double")
+    )
+
+
+def _exact(indexed: DataFrame, references: References, k: int, visit_rows: int) -> DataFrame:
+    """Candidates that hold the k nearest of every row."""
+    placed = indexed.select("rep", "copies", "vec", F.col("block").alias("cell"))
+    near = _own_block(placed, k)
+    local = near.where(F.col("q_rep").isNotNull()).select("rep", "q_rep", "q_copies", "d2")
+    asks = near.where(F.col("vec").isNotNull()).select("rep", "cell", "radius", "vec")
+    of_blocks = rings(indexed, references)
+    if of_blocks.count() < 2:
+        return local
+    radii = asks.groupBy(F.col("cell").alias("block")).agg(F.sqrt(F.max("radius")).alias("radius"))
+    # No radius yet: any block may hold a neighbour.
+    radii = radii.withColumn("radius", F.least("radius", F.lit(1e150)))
+    pairs = stage(block_pairs(of_blocks, stage(radii, "radii"), references), "block-pairs")
+    visits = stage(_visits(asks, pairs, references), "visits")
+    first = Window.partitionBy("rep").orderBy("away", "cell")
+    visits = visits.withColumn("turn", F.row_number().over(first))
+    soon = stage(_visit(visits.where(F.col("turn") <= FIRST_VISITS), placed, k, visit_rows), "near")
+    known = stage(local.unionByName(soon), "near")
+    # The k-th distance known by now, counting copies, is the radius of the later visits.
+    in_order = Window.partitionBy("rep").orderBy("d2", "q_rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    twins = placed.select("rep", (F.col("copies") - 1).alias("twins"))
+    reached = known.withColumn("upto", F.sum("q_copies").over(in_order)).join(twins, "rep").where(F.col("upto") + F.col("twins") >= k)
+    reached = stage(reached.groupBy("rep").agg(F.min("d2").alias("now")), "radii")
+    later = visits.where(F.col("turn") > FIRST_VISITS).join(reached, "rep", "left")
+    later = later.withColumn("radius", F.least("radius", F.coalesce("now", F.lit(float("inf"))))).where(F.col("away") <= F.col("radius") * SLACK)
+    return known.unionByName(_visit(later, placed, k, visit_rows))
+
+
 def nearest_neighbours(
     points: DataFrame, k: int, cell_rows: int = CELL_ROWS, visit_rows: int = VISIT_ROWS, trees: int = 0
 ) -> tuple[DataFrame, DataFrame]:
@@ -280,56 +380,8 @@ def nearest_neighbours(
     d = first["d"]
     if trees:
         return distinct, _ranked(_approximate(distinct, d, k, cell_rows, trees), distinct, k)
-    placed, bounds = _partition(distinct, d, cell_rows)
-    names = np.array(sorted(bounds))
-    boxes = points.sparkSession.sparkContext.broadcast(
-        (names, np.array([bounds[c][1] for c in names]), np.array([bounds[c][2] for c in names]))
-    )
-
-    def search_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
-        x, reps, copies = _matrix(pdf["vec"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
-        own = int(pdf["cell"].iloc[0])
-        radius = np.full(len(x), np.inf)
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
-        step = max(1, BLOCK // len(x))
-        for start in range(0, len(x), step):
-            block = _squared(x[start : start + step], x)
-            for offset, d2 in enumerate(block):
-                i = start + offset
-                missing = k - (copies[i] - 1)
-                if missing <= 0:
-                    radius[i] = -1.0
-                    continue
-                d2[i] = np.inf
-                near = _nearest(d2, k)
-                near = near[np.isfinite(d2[near])]
-                reach = np.flatnonzero(np.cumsum(copies[near]) >= missing)
-                if len(reach):
-                    near = near[: reach[0] + 1]
-                    radius[i] = d2[near[-1]]
-                found.append((reps[i], near, d2[near]))
-        out = [_candidates(found, reps, copies).assign(cell=pd.NA, radius=np.nan, vec=None)]
-        cells, lo, hi = boxes.value
-        limit = radius.max() * SLACK
-        here = (np.maximum(lo - x.max(0), 0.0) ** 2 + np.maximum(x.min(0) - hi, 0.0) ** 2).sum(1)
-        close = np.flatnonzero((here <= limit) & (cells != own))
-        step = max(1, BLOCK // len(x))
-        for start in range(0, len(close), step):
-            part = close[start : start + step]
-            i, j = np.nonzero(_box_distance(x, lo[part], hi[part]) <= (radius * SLACK)[:, None])
-            visits = {"rep": reps[i], "q_rep": pd.NA, "q_copies": pd.NA, "d2": np.nan, "cell": cells[part[j]]}
-            out.append(pd.DataFrame({**visits, "radius": radius[i], "vec": list(x[i])}))
-        numbers = {"q_rep": "Int64", "q_copies": "Int64", "cell": "Int64"}
-        return pd.concat([f.astype(numbers) for f in out if len(f)] or [out[0].astype(numbers)])
-
-    first_pass = stage(placed.groupBy("cell").applyInPandas(search_cell, FOUND_SCHEMA), "near")
-    local = first_pass.where(F.col("cell").isNull()).select("rep", "q_rep", "q_copies", "d2")
-    visits = first_pass.where(F.col("cell").isNotNull()).select("rep", "cell", "radius", "vec")
-
-    candidates = local if len(bounds) == 1 else local.unionByName(_visit(visits, placed, k, visit_rows))
-
-    return distinct, _ranked(candidates, distinct, k)
+    references = choose_references(distinct, cell_rows)
+    return distinct, _ranked(_exact(place(distinct, references, cell_rows), references, k, visit_rows), distinct, k)
 
 
 def _ranked(candidates: DataFrame, distinct: DataFrame, k: int) -> DataFrame:

@@ -150,13 +150,15 @@ def prepare(
     importance_trees: int = 100,
     oversample: bool = True,
     interpolate_codes: bool = True,
+    neighbour_trees: int = 0,
 ) -> Prepared:
     """Clean, engineer, split, impute, prune, balance and scale.
 
     ``fit_scope="all"`` learns the steps before the split from every row, for
     comparison with pipelines that do so; the default learns from train rows only.
     ``interpolate_codes=False`` gives synthetic rows an existing label code instead
-    of a value between two codes.
+    of a value between two codes. ``neighbour_trees`` makes the balancing's neighbour search
+    approximate with bounded work per row, for long tables with many features.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope must be 'train' or 'all'")
@@ -190,7 +192,7 @@ def prepare(
     if oversample:
         codes = () if interpolate_codes else tuple(c for c in features if c in text)
         rows = train.select(key, target, *features)
-        balanced = stage(smote(rows, features, target, key, seed=seed, categorical=codes), "balanced")
+        balanced = stage(smote(rows, features, target, key, seed=seed, categorical=codes, trees=neighbour_trees), "balanced")
     else:
         balanced = train.select(key, F.lit(0).alias("copy"), target, *features)
     scaler = fit_scaler(balanced, features)

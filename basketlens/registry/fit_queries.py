@@ -148,6 +148,29 @@ def scaled(wb):
     return scaler.transform(filled).select(KEY, "split", *[F.round(c, 6).alias(c) for c in _SCALED])
 
 
+_ALL_LIST = ", ".join(f"(coalesce({c}, 0) - m_{c}) / (CASE WHEN d_{c} = 0 THEN 1 ELSE d_{c} END)" for c in _SCALED)
+_SMOTE_SCALED_SQL = _SMOTE_SQL.replace(
+    f"tr AS (SELECT CustomerID AS k, Churn, [{_SMOTE_LIST}] AS x FROM split WHERE side = 'train')",
+    f"""fitted AS (SELECT {", ".join(f"avg(coalesce({c}, 0)) AS m_{c}, stddev_pop(coalesce({c}, 0)) AS d_{c}" for c in _SCALED)}
+               FROM split WHERE side = 'train'),
+    tr AS (SELECT CustomerID AS k, Churn, [{_ALL_LIST}] AS x FROM split, fitted WHERE side = 'train')""",
+)
+
+
+@query(
+    "fit_smote_scaled",
+    f"""WITH {C360}, {SPLIT}, {_SMOTE_SCALED_SQL}
+    SELECT k AS CustomerID, 0 AS copy, Churn, {", ".join(f"round(x[{i}], 4) + 0.0 AS {c}" for i, c in enumerate(_SCALED, 1))} FROM tr
+    UNION ALL SELECT k, copy, 1, {", ".join(f"round(x[{i}] + g * (nx[{i}] - x[{i}]), 4) + 0.0" for i in range(1, len(_SCALED) + 1))} FROM drawn""",
+)
+def oversampled_scaled(wb):
+    """Neighbours in all numeric columns, each scaled to the same weight."""
+    filled = _train(wb).select(KEY, TARGET, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _SCALED])
+    scaled_rows = scaling.fit_scaler(filled, _SCALED).transform(filled)
+    out = smote(scaled_rows, _SCALED, TARGET, KEY)
+    return out.select(KEY, "copy", TARGET, *[(F.round(c, 4) + 0.0).alias(c) for c in _SCALED])
+
+
 _SPEND_INPUTS = [c for c in NUMERIC if c != "MonetaryTotal"]
 
 

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.operators.correlation import correlated_columns, correlation_matrix, high_correlation_pairs
+from basketlens.operators import neighbours, pivots
 from basketlens.operators.neighbours import nearest_neighbours
 from basketlens.operators.ordering import running_totals
 from basketlens.operators.quantiles import exact_quantiles
@@ -20,6 +21,44 @@ def brute_force(keys, x, k):
     return out
 
 
+def test_rings_rule_out_blocks_only_without_closer_rows(spark):
+    """Every pair of blocks that holds a row within the radius is among the pairs, and far blocks are not."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(150, 3)), rng.normal(size=(150, 3)) + 50])
+    rows = spark.createDataFrame([(i, 1, [float(v) for v in r]) for i, r in enumerate(x)], "rep long, copies long, vec array<double>")
+    chosen = pivots.choose_references(rows, 40, guides=6)
+    placed = pivots.place(rows, chosen, 20)
+    of_blocks = pivots.rings(placed, chosen)
+    assert of_blocks.agg(F.max("n"), F.sum("n")).first()[:] == (20, 300)
+    radii = of_blocks.select("block", F.lit(1.5).alias("radius"))
+    pairs = {(r["block"], r["other"]) for r in pivots.block_pairs(of_blocks, radii, chosen).collect()}
+    block = {r["rep"]: r["block"] for r in placed.collect()}
+    near = {(block[i], block[j]) for i in range(300) for j in range(300) if np.linalg.norm(x[i] - x[j]) <= 1.5 and block[i] != block[j]}
+    assert near <= pairs
+    sides = {b: {i < 150 for i in range(300) if block[i] == b} for b in set(block.values())}
+    assert all(sides[a] & sides[b] for a, b in pairs)
+
+
+def test_visits_in_twenty_columns_do_not_follow_the_rows(spark):
+    """20 correlated columns, as scaled customer features are: few of many blocks are visited."""
+    rng = np.random.default_rng(9)
+    shares = []
+    for n in (1000, 8000):
+        x = rng.normal(size=(n, 4)) @ rng.normal(size=(4, 20)) + 0.01 * rng.normal(size=(n, 20))
+        points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "key long, vec array<double>")
+        visits = []
+        original = neighbours._visit
+        try:
+            neighbours._visit = lambda v, *rest: (visits.append(v.count()), original(v, *rest))[1]
+            distinct, found = nearest_neighbours(points, 5, cell_rows=50)
+            assert found.count() == 5 * n
+        finally:
+            neighbours._visit = original
+        shares.append(sum(visits) / n / (n / 50))
+    # Eight times the rows: about as many visits of each, not eight times as many.
+    assert shares[1] < 0.3 * shares[0]
+
+
 @pytest.mark.parametrize("shape", ["normal", "skewed", "copies", "line"])
 def test_neighbours_match_brute_force(spark, shape):
     rng = np.random.default_rng(7)
