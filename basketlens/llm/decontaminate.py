@@ -35,7 +35,7 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words of a seed; what an alignment must keep is stated for pairs.
 PAIR = 2
 #: Pair counts a task keeps before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 17
 PASSAGES = "id long, passage string, start long, words binary, grams array<long>"
 ITEMS = "item_id long, words binary, grams array<long>, seeds int, reach int"
 
@@ -270,9 +270,10 @@ def contaminated_passages(
         return spark.sparkContext.broadcast(np.packbits(table[:, 0].astype(bool), bitorder="little"))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    asked = bitmap_of(items.select(F.explode("grams").alias("gram")))
     grams = items.select("item", "seeds", F.posexplode("grams").alias("position", "gram"))
     frequency = (
-        map_batches(rows, _frequencies(bitmap_of(grams), bits, probes), "gram long, docs long")
+        map_batches(rows, _frequencies(asked, bits, probes), "gram long, docs long")
         .groupBy("gram")
         .agg(F.sum("docs").alias("docs"))
     )
@@ -287,8 +288,11 @@ def contaminated_passages(
         .distinct()
     )
     seeds = stage(seeds, "leak-seeds")
+    asked.destroy()
     reach = items.agg(F.max("reach")).first()[0] or 0
-    passages = stage(map_batches(rows, _passages(bitmap_of(seeds), bits, probes, reach), PASSAGES), "leak-passages")
+    asked = bitmap_of(seeds)
+    passages = stage(map_batches(rows, _passages(asked, bits, probes, reach), PASSAGES), "leak-passages")
+    asked.destroy()
     shared = passages.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram")
     candidates = (
         shared.select("passage", "item")

@@ -15,6 +15,7 @@ from math import ceil, log1p, log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlens.llm.bits import fill, places
@@ -25,7 +26,7 @@ from basketlens.staging import stage
 _U = np.uint64
 UNKNOWN = "und"
 #: Trigram counts a task keeps before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 17
 #: Text bytes handled at a time.
 SLICE = 1 << 18
 
@@ -212,8 +213,16 @@ def learn_languages(
     return LanguageFilter(languages, fallback, masks, bits, probes)
 
 
-def detect_languages(docs: DataFrame, learned: LanguageFilter | None, text_col: str = "text") -> DataFrame:
-    """(lang_pred, score, support, other): the language of every whole text; ``other`` holds all columns of ``docs``.
+def detect_languages(
+    docs: DataFrame,
+    learned: LanguageFilter | Broadcast | None,
+    text_col: str = "text",
+    carried: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """(lang_pred, score, support, other): the language of every whole text.
+
+    ``other`` holds the ``carried`` columns of ``docs``, all of them by default. ``learned`` may
+    be broadcast already, so that the caller can destroy it once the result is written.
 
     Texts that are null or have no letter are ``und`` with score 0, as is every text when
     nothing was learned. A text whose trigrams no language holds gets the language with the
@@ -221,12 +230,13 @@ def detect_languages(docs: DataFrame, learned: LanguageFilter | None, text_col:
     winner's share of all corrected counts, the support its part of the text's trigrams.
     """
     rows = docs.select(
-        F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("other")
+        F.col(text_col).cast("string").alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carried is None else carried)]).alias("other"),
     )
     kind = rows.schema["other"].dataType.simpleString()
     if learned is None:
         return rows.select(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("support"), "other")
-    shared = docs.sparkSession.sparkContext.broadcast(learned)
+    shared = learned if isinstance(learned, Broadcast) else docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
         for piece in pieces(batches, "text", SLICE):

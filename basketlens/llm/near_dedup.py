@@ -166,7 +166,8 @@ def _cross(percent: int, hashes: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
                 ids, comps, sigs, buckets = side(row["ids"], row["comps"], row["sigs"], row["buckets"])
                 ids2, comps2, sigs2, buckets2 = side(row["ids2"], row["comps2"], row["sigs2"], row["buckets2"])
                 u, v = [], []

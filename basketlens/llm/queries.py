@@ -71,7 +71,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = learn_languages(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
-    found = detect_languages(docs.select("doc_id", "text"), learned).select("other.doc_id", "lang_pred", "score")
+    found = detect_languages(docs, learned, carried=("doc_id",)).select("other.doc_id", "lang_pred", "score")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
