@@ -15,7 +15,7 @@ from basketlens.llm.lang_id import UNKNOWN, detect_languages, learn_languages
 from basketlens.llm.line_dedup import deduplicate_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
-from basketlens.staging import stage
+from basketlens.staging import discard, stage, stage_path
 
 
 #: The part of a text's trigrams that its language must hold: random letters reach 0.13, texts of the given tables 0.55 at least.
@@ -27,8 +27,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A language counts if it holds ``SUPPORT`` of the text's trigrams, learned from other texts too.
     """
-    found = detect_languages(docs, learn_languages(docs, least_texts=2))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("support") >= SUPPORT)).select("other.*")
+    learned = learn_languages(docs, least_texts=2)
+    shared = learned and spark.sparkContext.broadcast(learned)
+    # Only the text and what names the row pass through the filter; the rows to drop are few.
+    named = docs.withColumn("same", F.xxhash64("text"))
+    found = detect_languages(named, shared, carried=("doc_id", "same"))
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("support") >= SUPPORT)
+    dropped = stage(found.where(~known).select("other.*").distinct(), "pipeline-unknown")
+    if shared:
+        shared.destroy()
+    gone = dropped.select(F.struct(*dropped.columns).alias("id"))
+    return without_rows(named.withColumn("row", F.struct("doc_id", "same")), gone, "row").select(*docs.columns)
 
 
 def deduplicate_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +76,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = stage_path(function(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(spark, *before)
+        before = [path]
     return docs
