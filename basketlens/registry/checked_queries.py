@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from basketlens.functions.risk import decide, risk_level
 from basketlens.operators import clustering, evaluate
 from basketlens.plans import score, train
-from basketlens.registry.base_sql import C360, SPLIT
+from basketlens.registry.base_sql import C360, SCENARIOS, SPLIT
+from basketlens.registry.feature_queries import _ENTERED
 from basketlens.registry.workbench import query
 from basketlens.sources.artefacts import Bundle, load_bundle, save_bundle
 from basketlens.sources.customers import KEY, TARGET, write_table
+from basketlens.sources.shelf import Shelf
 from basketlens.streaming import score_stream
 
 MODELS = ("random_forest", "gradient_boosting")
@@ -275,3 +278,62 @@ def trained_spend(wb):
     """Errors of the trained spend model on its test customers."""
     spend = wb.trained.spend
     return evaluate.regression_metrics(spend.model.transform(spend.test), "MonetaryTotal", "monetary_predicted")
+
+
+@query(
+    "job_scenario_stream",
+    f"""WITH {C360}, {SCENARIOS}, {_ENTERED} SELECT CustomerID, 1::BIGINT AS times, round(MonetaryTotal, 2) AS entered,
+    true AS consistent, true AS same FROM entered""",
+)
+def scenario_stream(wb):
+    """A scenario stream through all three models that is killed within a batch, restarted and given new models meanwhile."""
+    arrived, out, checkpoint = wb.path("scenario_files"), wb.path("scenario_scores"), wb.path("scenario_checkpoint")
+    wb.scenarios.repartition(4).write.parquet(arrived)
+    shelf = Shelf(wb.spark, wb.path("shelf"))
+    shelf.publish(wb.bundle)
+    stream = score_stream.read_customers(wb.spark, arrived, wb.scenarios.schema, files_per_trigger=1)
+    begun = []
+
+    def killed(rows, bundle):
+        begun.append(1)
+        scored = score_stream.score_scenario_stream(rows, bundle, KEY)
+        # The second batch fails in one of its tasks, after others may have written.
+        return scored if len(begun) < 2 else scored.where(F.when(F.col(KEY) > 0, F.raise_error(F.lit("killed"))).isNull())
+
+    try:
+        score_stream.write_batches(stream, killed, shelf, out, checkpoint).awaitTermination()
+    except StreamingQueryException:
+        shelf.publish(wb.bundle)
+    whole = lambda rows, bundle: score_stream.score_scenario_stream(rows, bundle, KEY)
+    score_stream.write_batches(stream, whole, shelf, out, checkpoint).awaitTermination()
+    scored = score_stream.read_batches(wb.spark, out)
+    batch = score.score_scenarios(wb.scenarios, wb.bundle, KEY).select(KEY, F.struct("churn_percent", "segment", "monetary_predicted").alias("want"))
+    levels = ("Faible", "Moyen", "Élevé", "Critique")
+    percent = F.col("churn_percent")
+    # The level by the shown percentage; at a bound the unrounded one may differ.
+    expected = F.when(percent < 25, levels[0]).when(percent < 50, levels[1]).when(percent < 75, levels[2]).otherwise(levels[3])
+    at_bound = reduce(lambda a, b: a | b, [F.abs(percent - x) < 0.1 for x in (25, 50, 75)])
+    found = scored.groupBy(KEY).agg(
+        F.count("*").alias("times"),
+        F.round(F.first(F.col("monetary_predicted") - F.col("spend_delta")), 2).alias("entered"),
+        F.first((F.col("risk_level") == expected) | at_bound).alias("consistent"),
+        F.first(F.struct("churn_percent", "segment", "monetary_predicted")).alias("found"),
+    )
+    return found.join(batch, KEY, "full").select(KEY, "times", "entered", "consistent", F.col("found").eqNullSafe(F.col("want")).alias("same"))
+
+
+@query(
+    "snk_published_bundle",
+    """SELECT version::BIGINT AS version, name, version = 2 AS current FROM (VALUES (1, 'pca'), (1, 'kmeans'), (1, 'preparation'),
+    (2, 'classifier_churn'), (2, 'pca'), (2, 'kmeans'), (2, 'regressor_monetary'), (2, 'preparation'), (2, 'preparation_monetary')) v(version, name)""",
+)
+def published_bundle(wb):
+    """A partial and a whole version are published, a save without a manifest is not, and a third version is taken back."""
+    whole = wb.bundle
+    shelf = Shelf(wb.spark, wb.path("shelf"))
+    shelf.publish(Bundle({n: whole.models[n] for n in ("pca", "kmeans")}, {"preparation": whole.preparations["preparation"]}))
+    shelf.publish(whole)
+    save_bundle(whole, wb.spark, f"{shelf.root}/bundle-interrupted")
+    shelf.publish(Bundle({}, {"preparation": whole.preparations["preparation"]}))
+    shelf.retract()
+    return shelf.inventory()
