@@ -1,14 +1,16 @@
 """Personal data: exact base patterns, and bootstrapped contexts that find more.
 
 Base spans come from four regular expressions. Tokens with a digit or ``@`` are candidate
-instances; the two words before a token are its lexical pattern. Tokens that hold a base
-span are seeds. The graph of patterns and instances is scored in rounds: a pattern's
-confidence is the mean score of its distinct instances, an instance's score the noisy-or
-of its trusted patterns. Patterns with enough seeds and a high confidence mark the other
-tokens they stand before as identifiers of the pattern's kind.
+instances. A token's lexical patterns are the two words before it, the one before it, the
+one after it, and both neighbours. Seeds are tokens that hold a base span, and long
+hexadecimal values after ``=`` or ``:`` (kind ``secret``). The graph of patterns and
+instances is scored in rounds: a pattern's confidence is the mean score of its distinct
+instances, an instance's score the noisy-or of its trusted patterns. Patterns with enough
+seeds and a high confidence mark the other tokens they stand beside as identifiers of the
+pattern's kind.
 
 Everything is built-in functions and joins. One pass reads the texts and keeps only the
-matches with their distances; positions are running sums of those per text.
+matches with their distances and neighbours; positions are running sums of those per text.
 """
 
 from __future__ import annotations
@@ -31,8 +33,13 @@ PATTERNS = {
 #: Blank-separated runs that hold a digit or ``@``.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 OCTET = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-#: Characters before a token that are looked at for its pattern.
-CONTEXT = 64
+#: What stands around a token and is not part of it.
+OPENING, CLOSING = r"[\"'(\[<{]", r"[\"')\]>},.;:!?#$%&*]"
+#: Values that are seeds of the kind ``secret`` after a word that ends so.
+SECRET, ASSIGNED = r"^(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+\z", r"[=:]\z"
+CONTEXTS = tuple(f"context_{k}" for k in (*KINDS, "secret"))
+#: Stand for a missing word: the text's end, or another token.
+EDGE, OTHER = "^", "#"
 
 
 def _digits(match: Column) -> Column:
@@ -50,23 +57,38 @@ def _valid(kind: Column, match: Column) -> Column:
     )
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+_MATCH = "struct<kind: string, place: bigint, gap: bigint, match: string, words: array<string>>"
+
+
 def _matches(text: Column, kind: str, pattern: str, may_match: Column) -> Column:
-    """array<(kind, place, gap, match, before)>: matches with the length of the text before each."""
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """array<(kind, place, gap, match, words)>: matches with the length of the text since the one before.
 
-    def row(match: Column, place: Column) -> Column:
-        gap = F.get(gaps, place)
+    For tokens ``words`` are the first and the last two words of that text, and the text after
+    the last token has a row without a match.
+    """
+    # Each array is computed once for the text and walked along with the other.
+    parts = F.zip_with(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))
+    )
+
+    def row(part: Column, place: Column) -> Column:
+        words = _words(part["g"])
+        ends = F.concat(F.slice(words, 1, 1), F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2))
         return F.struct(
             F.lit(kind).alias("kind"),
             place.cast("long").alias("place"),
-            F.length(gap).cast("long").alias("gap"),
-            match.alias("match"),
-            (F.right(gap, F.lit(CONTEXT)) if kind == "token" else F.lit("")).alias("before"),
+            F.length(part["g"]).cast("long").alias("gap"),
+            part["m"].alias("match"),
+            (ends if kind == "token" else F.expr("cast(null as array<string>)")).alias("words"),
         )
 
-    empty = F.expr("cast(array() as array<struct<kind: string, place: bigint, gap: bigint, match: string, before: string>>)")
-    return F.when(may_match, F.transform(found, row)).otherwise(empty)
+    if kind != "token":
+        parts = F.filter(parts, lambda p: p["m"].isNotNull())
+    return F.when(may_match, F.transform(parts, row)).otherwise(F.expr(f"cast(array() as array<{_MATCH}>)"))
 
 
 def _joined(spans: Column) -> Column:
@@ -78,7 +100,7 @@ def _joined(spans: Column) -> Column:
 
 
 def _order(kind: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(k) for k in (*KINDS, *(f"context_{k}" for k in KINDS))]), kind)
+    return F.array_position(F.array(*[F.lit(k) for k in (*KINDS, *CONTEXTS)]), kind)
 
 
 def score_patterns(edges: DataFrame, rounds: int, least_seeds: int, confidence: float) -> DataFrame:
@@ -94,9 +116,10 @@ def score_patterns(edges: DataFrame, rounds: int, least_seeds: int, confidence:
             edges.join(scores, "instance")
             .groupBy("pattern")
             .agg(
-                F.avg("score").alias("confidence"),
+                # Rounded, so that the order of summing decides nothing.
+                F.round(F.avg("score"), 9).alias("confidence"),
                 F.count(F.when(F.col("seed"), 1)).alias("seeds"),
-                F.mode("kind").alias("kind"),
+                F.mode("kind", deterministic=True).alias("kind"),
             )
         )
         trusted = stage(
@@ -132,7 +155,11 @@ def personal_data(
 
     ``base`` and ``spans`` list ``kind:start:end`` (code points, end exclusive) by start and
     kind; ``spans`` adds the tokens found by context as ``context_<kind>``, which count in no
-    n column and never overlap a base span. Null and empty texts hold nothing. Rows with the
+    n column and never overlap a base span: tokens beside a pattern with ``least_seeds``
+    distinct seeds and a mean score of ``confidence``, without the quotes and stops around
+    them. Of several patterns the most confident names the kind, of a pattern's seeds the most
+    frequent kind counts, the first by name where they tie. A context word is as long as it
+    is; where a word is missing, the text's end and another token are told apart. Null and empty texts hold nothing. Rows with the
     same id and text get the same result; the order of rows plays no part. An empty table
     gives an empty result.
     """
@@ -149,8 +176,10 @@ def personal_data(
     texts = read.where(F.size("found") > 0).dropDuplicates(["id", "same"])
     listed = texts.select("id", "same", F.explode("found").alias("m")).select("id", "same", "m.*")
     running = Window.partitionBy("id", "same", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap") + F.length("match")).over(running)
+    in_order = Window.partitionBy("id", "same", "kind").orderBy("place")
+    end = F.sum(F.col("gap") + F.coalesce(F.length("match"), F.lit(0))).over(running)
     placed = listed.withColumn("end", end).withColumn("start", F.col("end") - F.length("match"))
+    placed = placed.withColumn("following", F.lead("words").over(in_order)).where("match is not null")
     placed = stage(placed.where((F.col("kind") == "token") | _valid(F.col("kind"), F.col("match"))), "private-spans")
 
     span = F.struct(F.col("start"), _order(F.col("kind")).alias("order"), F.col("kind"), F.col("end"))
@@ -159,37 +188,57 @@ def personal_data(
         placed.where("kind <> 'token'").groupBy("id", "same").agg(*counts, F.collect_list(span).alias("base")), "private-base"
     )
 
-    # Tokens with their pattern; quotes and stops around a token are not part of it.
-    core = F.regexp_extract("match", r"^[\"'(\[<{]*+(.*?)[\"')\]>},.;:!?]*\z", 1)
-    lead = F.length(F.regexp_extract("match", r"^([\"'(\[<{]*+)", 1))
-    words = F.filter(F.split(F.lower("before"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # Tokens with their neighbours; quotes and stops around a token are not part of it.
+    lead = F.length(F.regexp_extract("match", rf"^({OPENING}*+)", 1))
+    before = F.when(F.col("place") == 0, EDGE).otherwise(OTHER)
+    missing = lambda word, none: F.when(word == "", none).otherwise(word)
+    # Of a text without words, ``words`` holds the two fillers alone.
+    after = F.when(F.size("following") == 3, F.get("following", F.lit(0))).otherwise("")
     token = (
         placed.where("kind = 'token'")
-        .withColumn("instance", core)
+        .withColumn("instance", F.regexp_extract("match", rf"^{OPENING}*+(.*?){CLOSING}*\z", 1))
         .withColumn("start", F.col("start") + lead)
         .withColumn("end", F.col("start") + F.length("instance"))
-        .withColumn("pattern", F.array_join(F.slice(F.concat(F.array(F.lit("^"), F.lit("^")), words), -2, 2), " "))
-        .where((F.length("instance") > 0) & (F.col("pattern") != "^ ^"))
+        .withColumn("second", missing(F.element_at("words", -2), before))
+        .withColumn("first", F.element_at("words", -1))
+        .withColumn("after", after)
+        .where(F.length("instance") > 0)
     )
     known = base.select(F.col("id").alias("of"), F.col("same").alias("of_same"), "base")
     token = token.join(known, F.col("id").eqNullSafe(F.col("of")) & (F.col("same") == F.col("of_same")), "left")
     touching = F.filter("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
     token = token.withColumn("touching", F.coalesce(touching, F.expr("cast(array() as array<struct<start: bigint, order: bigint, kind: string, end: bigint>>)")))
+    secret = F.col("instance").rlike(SECRET) & F.col("first").rlike(ASSIGNED)
+    found_kind = F.get("touching", F.lit(0))["kind"]
+    named = lambda shown, *words: F.when(shown, F.concat_ws(" ", *words))
+    patterns = F.array_compact(
+        F.array(
+            named(F.col("first") != "", F.col("second"), F.col("first"), F.lit("_")),
+            named(F.col("first") != "", F.col("first"), F.lit("_")),
+            named(F.col("after") != "", F.lit("_"), F.col("after")),
+            named((F.col("first") != "") & (F.col("after") != ""), F.col("first"), F.lit("_"), F.col("after")),
+        )
+    )
     token = stage(
         token.select(
-            "id", "same", "pattern", "instance", "start", "end", F.get("touching", F.lit(0))["kind"].alias("kind"),
-            (F.size("touching") > 0).alias("seed"),
+            "id", "same", "instance", "start", "end", (F.size("touching") > 0).alias("covered"),
+            F.when(F.size("touching") > 0, found_kind).when(secret, "secret").alias("kind"), patterns.alias("patterns"),
         ),
         "private-tokens",
     )
+    beside = token.withColumn("pattern", F.explode("patterns"))
     edges = stage(
-        token.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.max("seed").alias("seed")), "private-edges"
+        beside.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.max(F.col("kind").isNotNull()).alias("seed")),
+        "private-edges",
     )
     trusted = score_patterns(edges, rounds, least_seeds, confidence)
+    # A base span stays as it is; a secret is one by its pattern, as an unseen identifier is.
     discovered = (
-        token.where(~F.col("seed") & (F.length("instance") >= 6) & F.col("instance").rlike("[0-9]"))
-        .join(trusted.select("pattern", F.col("kind").alias("of_kind")), "pattern")
-        .select("id", "same", "start", "end", F.concat(F.lit("context_"), "of_kind").alias("kind"))
+        beside.where(~F.col("covered"))
+        .join(trusted.withColumnRenamed("kind", "of_kind"), "pattern")
+        .groupBy("id", "same", "start", "end")
+        .agg(F.max(F.struct("confidence", "of_kind")).alias("best"))
+        .select("id", "same", "start", "end", F.concat(F.lit("context_"), "best.of_kind").alias("kind"))
     )
     added = discovered.groupBy("id", "same").agg(F.collect_list(span).alias("added"))
 

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import brute
 import numpy as np
@@ -303,6 +304,109 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[100]["n_email"] == 0
 
 
+def plain_contexts(rows, rounds=3, least=3, confidence=0.6):
+    """context spans of every (id, text) by scoring patterns and instances in plain loops."""
+    opening, closing = "\"'([<{", "\"')]>},.;:!?#$%&*"
+    tokens = []
+    for i, t in rows:
+        words = [(m.group(), m.start()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+        base = [s.split(":") for s in brute.base_spans(t).split(",") if s]
+        is_token = [re.search("[0-9@]", w) is not None for w, _ in words]
+        for k, (w, at) in enumerate(words):
+            if not is_token[k]:
+                continue
+            instance = w.lstrip(opening)
+            start = at + len(w) - len(instance)
+            instance = instance.rstrip(closing)
+            end = start + len(instance)
+            first = words[k - 1][0].lower() if k and not is_token[k - 1] else ""
+            edge = "#" if any(is_token[:k]) else "^"
+            second = words[k - 2][0].lower() if first and k > 1 and not is_token[k - 2] else edge
+            after = words[k + 1][0].lower() if k + 1 < len(words) and not is_token[k + 1] else ""
+            touching = [b for b in base if int(b[1]) < end and int(b[2]) > start]
+            kind = sorted(touching, key=lambda b: (int(b[1]), pii.KINDS.index(b[0])))[0][0] if touching else None
+            hexes = re.fullmatch("[0-9A-Fa-f]{32,}", instance) and re.search("[0-9]", instance) and re.search("[A-Fa-f]", instance)
+            if not kind and hexes and first[-1:] in ("=", ":") and first:
+                kind = "secret"
+            patterns = [f"{second} {first} _", f"{first} _"] if first else []
+            patterns += [f"_ {after}"] if after else []
+            patterns += [f"{first} _ {after}"] if first and after else []
+            if instance:
+                tokens.append((i, start, end, instance, kind, bool(touching), patterns))
+    edges = {}
+    for _, _, _, instance, kind, _, patterns in tokens:
+        for p in patterns:
+            edges[p, instance] = max(edges.get((p, instance)) or "", kind or "") or None
+    score = collections.defaultdict(float)
+    seed = collections.defaultdict(float)
+    for (_, x), kind in edges.items():
+        seed[x] = max(seed[x], float(kind is not None))
+    score.update(seed)
+    for _ in range(rounds):
+        trusted = {}
+        for p in {p for p, _ in edges}:
+            own = [x for q, x in edges if q == p]
+            kinds = collections.Counter(edges[p, x] for x in own if edges[p, x])
+            mean = round(sum(score[x] for x in own) / len(own), 9)
+            if sum(kinds.values()) >= least and mean >= confidence:
+                trusted[p] = (mean, min(k for k in kinds if kinds[k] == max(kinds.values())))
+        said = collections.defaultdict(lambda: 1.0)
+        for p, x in edges:
+            if p in trusted:
+                said[x] *= max(1 - trusted[p][0], 1e-6)
+        score = collections.defaultdict(float, {x: max(seed[x], 1 - said[x] if x in said else 0) for x in seed})
+    out = collections.defaultdict(set)
+    for i, start, end, _, _, covered, patterns in tokens:
+        best = [trusted[p] for p in patterns if p in trusted]
+        if best and not covered:
+            out[i].add(f"context_{max(best)[1]}:{start}:{end}")
+    return out
+
+
+def test_contexts_match_plain_scoring(spark):
+    """Patterns of all sorts, with ties of kinds, odd tokens, and seeds of every kind."""
+    rng = random.Random(17)
+    seeds = [lambda: f"u{rng.randrange(500)}@h.example.com", lambda: f"10.{rng.randrange(200)}.1.{rng.randrange(200)}", lambda: "+1 (017) 555-%04d" % rng.randrange(10**4)]
+    hexes = lambda: f'"{rng.randrange(16**40):040x}"'
+    rows = []
+    for i in range(400):
+        t = []
+        for _ in range(rng.randrange(1, 5)):
+            t += [rng.choice(["mail", "call", "Host", "x", "ab"]), rng.choice(["me", "at", "token =", "to:", ""])]
+            t += [rng.choice([rng.choice(seeds), rng.choice(seeds), hexes, lambda: f"n{rng.randrange(50)}", lambda: "@"])(), rng.choice(["now", "or", "", "please."])]
+        rows.append((i, " ".join(t)))
+    want = plain_contexts(rows)
+    got = personal_data(spark.createDataFrame(rows, DOC).repartition(4)).collect()
+    assert {r["id"]: {s for s in r["spans"].split(",") if s.startswith("context")} for r in got} == {i: want.get(i, set()) for i, _ in rows}
+    assert sum(map(len, want.values())) > 50 and len({s.split(":")[0] for x in want.values() for s in x}) >= 4
+
+
+def test_planted_contexts_are_found(spark):
+    """Identifiers of unknown form behind one word, before one word and between two; values of a token; clean rows stay clean."""
+    rng = random.Random(18)
+    rows = []
+    for i in range(300):
+        known, unseen = f"user{i}@mail.example.com", f"user{i}_at_mail{rng.randrange(100)}"
+        own = known if i % 3 else unseen
+        rows.append((i, rng.choice([f"some text, mailto {own} some words", f"we wrote {own} yesterday", f"reach {own} anytime"])))
+    rows += [(1000 + i, f'x api token = "{rng.randrange(16**40):040x}" and more') for i in range(50)] + [(1100, "the api token = s3cr3t-key in use")]
+    rows += [(2000 + i, f"page {rng.randrange(900)} of chapter {rng.randrange(40)} in volume {i % 7}") for i in range(200)]
+    got = {r["id"]: r["spans"] for r in personal_data(spark.createDataFrame(rows, DOC)).collect()}
+    planted = [i for i in range(0, 300, 3)]
+    assert sum("context_email" in got[i] for i in planted) >= 0.9 * len(planted)
+    assert all("context_secret" in got[1000 + i] for i in range(50)) and "context_secret" in got[1100]
+    assert all(got[i] == "" for i in range(2000, 2200))
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the text: 100 000 matches of two kinds and as many tokens."""
+    text = "a@b.co 1.2.3.4 " * 100_000
+    begun = time.time()
+    (row,) = personal_data(spark.createDataFrame([(1, text)], DOC)).select("n_email", "n_ip", F.length("base").alias("n")).collect()
+    assert (row["n_email"], row["n_ip"]) == (100_000, 100_000) and row["n"] > 2_000_000
+    assert time.time() - begun < 60
+
+
 def test_personal_data_of_nothing_and_its_plan(spark):
     got = personal_data(spark.createDataFrame([], DOC))
     assert got.count() == 0 and not re.search("Python|Pandas|ArrowEval", got._jdf.queryExecution().toString())
