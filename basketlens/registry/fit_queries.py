@@ -237,14 +237,14 @@ _CODE = "coalesce((SELECT code FROM codes WHERE field = '{c}' AND v = coalesce(s
     d AS (SELECT *, coalesce(try_strptime(RegistrationDate, '%d/%m/%y'), try_strptime(RegistrationDate, '%Y-%m-%d'),
       try_strptime(RegistrationDate, '%d/%m/%Y'), try_strptime(RegistrationDate, '%m/%d/%Y'))::DATE AS day,
       CASE WHEN MonetaryTotal IS NOT NULL THEN least(greatest(MonetaryTotal, lo), hi) END AS clipped FROM split, q)
-    SELECT CustomerID, Churn, side AS split, Frequency::DOUBLE AS Frequency, round(clipped / 1000, 2) AS thousands, Age,
+    SELECT CustomerID, Churn, side AS split, Frequency::DOUBLE AS Frequency, round(clipped, 4) AS MonetaryTotal, Age,
     CASE WHEN SupportTicketsCount BETWEEN 0 AND 15 THEN SupportTicketsCount END AS SupportTicketsCount,
     CASE WHEN SatisfactionScore BETWEEN 1 AND 5 THEN SatisfactionScore END AS SatisfactionScore,
     {", ".join(_CODE.format(c=c) for c in TEXTS)},
     year(day)::DOUBLE AS RegYear, month(day)::DOUBLE AS RegMonth, day(day)::DOUBLE AS RegDay, (isodow(day) - 1)::DOUBLE AS RegWeekday,
     coalesce(try_cast(split_part(LastLoginIP, '.', 1) AS INTEGER) IN (10, 127, 172, 192), false)::INTEGER::DOUBLE AS IP_IsPrivate,
     UniqueProducts / (TotalTransactions + 1) AS DiversityRatio, CancelledTransactions / (TotalTransactions + 1) AS CancelRate,
-    round(clipped / (Frequency + 1) / 1000, 2) AS basket_thousands FROM d s""",
+    round(clipped / (Frequency + 1), 4) AS AvgBasket FROM d s""",
 )
 def processed_table(wb):
     """Cleaned, engineered and encoded rows, with everything fitted on the training side."""
@@ -253,8 +253,8 @@ def processed_table(wb):
     path = write_table(wb.prepared.processed, wb.path("processed"), partition_by=("split",))
     return wb.spark.read.parquet(path).select(
         *kept,
-        F.round(F.col("MonetaryTotal") / 1000, 2).alias("thousands"),
-        F.round(F.col("AvgBasket") / 1000, 2).alias("basket_thousands"),
+        F.round("MonetaryTotal", 4).alias("MonetaryTotal"),
+        F.round("AvgBasket", 4).alias("AvgBasket"),
     )
 
 

@@ -122,12 +122,22 @@ def silhouette(wb):
 
 @query(
     "ml_best_k",
-    f"""WITH {C360}, {CLUSTERED}, s AS (SELECT cluster + 2 AS k, round(avg(ReturnRatio), 6) AS silhouette FROM clustered GROUP BY 1)
-    SELECT * FROM s ORDER BY silhouette DESC, k LIMIT 1""",
+    f"""WITH RECURSIVE {_lloyd_sql(60)}, sums AS (SELECT k, seed, sum(d * d) AS inertia FROM placed GROUP BY k, seed),
+    best AS (SELECT k, arg_min(seed, struct_pack(i := inertia, s := seed)) AS seed, min(inertia) AS inertia FROM sums GROUP BY k),
+    own AS (SELECT p.k, p.vec_id, p.c, e.x FROM placed p JOIN best USING (k, seed) JOIN e USING (vec_id)),
+    pairs AS (SELECT a.k, a.vec_id, a.c, b.c AS oc, sum(list_distance(a.x, b.x) ** 2) AS total, count(*) AS n FROM own a JOIN own b USING (k) GROUP BY ALL),
+    widths AS (SELECT k, vec_id, max(CASE WHEN c = oc THEN total / greatest(n - 1, 1) END) AS inner_d, min(CASE WHEN c <> oc THEN total / n END) AS outer_d,
+                      max(CASE WHEN c = oc THEN n END) AS size FROM pairs GROUP BY k, vec_id),
+    scores AS (SELECT k, avg(CASE WHEN size > 1 THEN (outer_d - inner_d) / greatest(inner_d, outer_d) ELSE 0 END) AS silhouette FROM widths GROUP BY k)
+    SELECT k, round(inertia, 4) AS inertia, round(silhouette, 6) AS silhouette,
+           row_number() OVER (ORDER BY silhouette DESC, k) = 1 AS best FROM scores JOIN best USING (k)""",
 )
 def best_k(wb):
-    scores = wb.clustered.groupBy((F.col("cluster") + 2).alias("k")).agg(F.round(F.avg("ReturnRatio"), 6).alias("silhouette"))
-    return clustering.best_k(scores)
+    """Inertia and silhouette of every k's best start, and the k that the sweep takes."""
+    scores = wb.spark.createDataFrame(_runs(wb).scores, "k int, inertia double, silhouette double")
+    chosen = clustering.best_k(scores).select(F.col("k").alias("chosen"))
+    shown = scores.join(chosen, F.col("k") == F.col("chosen"), "left")
+    return shown.select("k", F.round("inertia", 4).alias("inertia"), F.round("silhouette", 6).alias("silhouette"), F.col("chosen").isNotNull().alias("best"))
 
 
 @query("ml_cluster_sizes", f"WITH {C360}, {CLUSTERED} SELECT cluster, count(*) AS n FROM clustered GROUP BY 1")

@@ -11,6 +11,7 @@ from basketlens.plans.report import high_risk_share
 from basketlens.registry.base_sql import C360, CLUSTERED, SCORED, SPLIT
 from basketlens.registry.workbench import DOUBLES, EVERY, INTS, LONGS, NUMERIC, TEXTS, query
 from basketlens.sources.customers import (
+    header_columns,
     KEY,
     SHORT_TO_LONG,
     TARGET,
@@ -47,17 +48,6 @@ def customer_table(wb):
     return wb.customers.select(*columns).withColumn("MonetaryStd", F.round("MonetaryStd", 4))
 
 
-@query(
-    "src_customers_csv",
-    f"""WITH {C360} SELECT CustomerID, Frequency, MonetaryTotal, Age, SupportTicketsCount,
-    Gender, RegistrationDate, Churn FROM c360""",
-)
-def customers_csv(wb):
-    columns = [KEY, "Frequency", "MonetaryTotal", "Age", "SupportTicketsCount", "Gender", "RegistrationDate", TARGET]
-    path = write_table(wb.customers.select(*columns), wb.path("customers_csv"), "csv")
-    return read_customers_csv(wb.spark, path)
-
-
 @query(
     "src_canonical_names",
     f"""WITH {C360} SELECT CustomerID, CustomerTenureDays, UniqueDescriptions, TotalTransactions, CancelledTransactions,
@@ -89,6 +79,34 @@ _SHOWN = [*LONGS, *INTS, *TEXTS]
 _ROUNDED = ", ".join([*_SHOWN, *[f"round({c}, 6) + 0.0 AS {c}" for c in DOUBLES]])
 
 
+@query("src_customers_csv", f"WITH {C360} SELECT {_ROUNDED} FROM c360")
+def customers_csv(wb):
+    """The whole customer table through a CSV file and back."""
+    read = read_customers_csv(wb.spark, write_table(wb.customers.select(*EVERY), wb.path("customers_csv"), "csv"))
+    return read.select(*_SHOWN, *[(F.round(c, 6) + 0.0).alias(c) for c in DOUBLES])
+
+
+@query(
+    "src_header_columns",
+    "SELECT place::INTEGER AS place, name FROM (VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(EVERY)) + ") v(place, name)",
+)
+def header_order(wb):
+    """Column order from the header line of the written table."""
+    names = header_columns(wb.spark, write_table(wb.customers.select(*EVERY), wb.path("customers_csv"), "csv"))
+    return wb.spark.createDataFrame(list(enumerate(names)), "place int, name string")
+
+
+_KINDS = "SELECT '{c}' AS name, typeof(any_value({c})) IN ('BIGINT', 'INTEGER', 'DOUBLE') AS numeric, typeof(any_value({c})) = 'VARCHAR' AS text FROM c360"
+
+
+@query("sel_column_kinds", f"WITH {C360} {_unpivot(EVERY, _KINDS)}")
+def column_kinds(wb):
+    """Which columns are numbers and which are text, from the schema alone."""
+    df = wb.customers.select(*EVERY)
+    numbers, texts = select.numeric_columns(df), select.text_columns(df)
+    return wb.spark.createDataFrame([(c, c in numbers, c in texts) for c in df.columns], "name string, numeric boolean, text boolean")
+
+
 @query("src_load_split", f"WITH {C360}, {SPLIT} SELECT {_ROUNDED} FROM split WHERE side = 'train'")
 def train_side(wb):
     sides = [wb.split.where(F.col("split") == s).drop("split") for s in ("train", "test")]
