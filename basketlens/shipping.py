@@ -7,7 +7,8 @@ import ctypes
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -58,3 +59,15 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with the package shipped first; a task leaves no freed memory in its worker."""
     ship(df.sparkSession)
     return df.mapInArrow(_released(function), schema)
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand at most so many rows at a time to Python in what is written inside: for wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
