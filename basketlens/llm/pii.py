@@ -158,7 +158,8 @@ def personal_data(
     n column and never overlap a base span: tokens beside a pattern with ``least_seeds``
     distinct seeds and a mean score of ``confidence``, without the quotes and stops around
     them. Of several patterns the most confident names the kind, of a pattern's seeds the most
-    frequent kind counts, the first by name where they tie. A context word is as long as it
+    frequent kind counts, the first by name where they tie; a seed's kind is that of the base
+    span that touches it and reaches furthest. A context word is as long as it
     is; where a word is missing, the text's end and another token are told apart. Null and empty texts hold nothing. Rows with the
     same id and text get the same result; the order of rows plays no part. An empty table
     gives an empty result.
@@ -204,12 +205,14 @@ def personal_data(
         .withColumn("after", after)
         .where(F.length("instance") > 0)
     )
-    known = base.select(F.col("id").alias("of"), F.col("same").alias("of_same"), "base")
-    token = token.join(known, F.col("id").eqNullSafe(F.col("of")) & (F.col("same") == F.col("of_same")), "left")
-    touching = F.filter("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    token = token.withColumn("touching", F.coalesce(touching, F.expr("cast(array() as array<struct<start: bigint, order: bigint, kind: string, end: bigint>>)")))
+    # Of the base spans that begin before a token ends, the one that reaches furthest tells whether any touches it.
+    reach = F.struct(F.col("end").alias("until"), (-_order(F.col("kind"))).alias("order"), F.col("kind"))
+    spans = placed.where("kind <> 'token'").select("id", "same", F.col("start").alias("at"), F.lit(1).alias("turn"), reach.alias("reach"))
+    along = Window.partitionBy("id", "same").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    token = token.select("id", "same", F.col("end").alias("at"), F.lit(0).alias("turn"), "instance", "start", "end", "second", "first", "after")
+    token = token.unionByName(spans, allowMissingColumns=True).withColumn("reach", F.max("reach").over(along)).where("turn = 0")
+    token = token.withColumn("covered", F.coalesce(F.col("reach.until") > F.col("start"), F.lit(False)))
     secret = F.col("instance").rlike(SECRET) & F.col("first").rlike(ASSIGNED)
-    found_kind = F.get("touching", F.lit(0))["kind"]
     named = lambda shown, *words: F.when(shown, F.concat_ws(" ", *words))
     patterns = F.array_compact(
         F.array(
@@ -221,8 +224,8 @@ def personal_data(
     )
     token = stage(
         token.select(
-            "id", "same", "instance", "start", "end", (F.size("touching") > 0).alias("covered"),
-            F.when(F.size("touching") > 0, found_kind).when(secret, "secret").alias("kind"), patterns.alias("patterns"),
+            "id", "same", "instance", "start", "end", "covered",
+            F.when(F.col("covered"), F.col("reach.kind")).when(secret, "secret").alias("kind"), patterns.alias("patterns"),
         ),
         "private-tokens",
     )

@@ -324,7 +324,7 @@ def plain_contexts(rows, rounds=3, least=3, confidence=0.6):
             second = words[k - 2][0].lower() if first and k > 1 and not is_token[k - 2] else edge
             after = words[k + 1][0].lower() if k + 1 < len(words) and not is_token[k + 1] else ""
             touching = [b for b in base if int(b[1]) < end and int(b[2]) > start]
-            kind = sorted(touching, key=lambda b: (int(b[1]), pii.KINDS.index(b[0])))[0][0] if touching else None
+            kind = sorted(touching, key=lambda b: (-int(b[2]), pii.KINDS.index(b[0])))[0][0] if touching else None
             hexes = re.fullmatch("[0-9A-Fa-f]{32,}", instance) and re.search("[0-9]", instance) and re.search("[A-Fa-f]", instance)
             if not kind and hexes and first[-1:] in ("=", ":") and first:
                 kind = "secret"
