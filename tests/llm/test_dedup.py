@@ -14,7 +14,7 @@ from basketlens.llm.cuckoo import CuckooFilter
 from basketlens.llm.exact_dedup import CountingQuotientFilter, exact_duplicates, repeated_fingerprints
 from basketlens.llm.line_dedup import LineIndex, deduplicate_lines
 from basketlens.llm.near_dedup import near_duplicates
-from basketlens.llm.substring import matching_stretches, ranges, repeated_passages, wide_centres
+from basketlens.llm.substring import _places, matching_stretches, ranges, repeated_passages, wide_centres
 
 DOC = "doc_id long, text string"
 ODD = [(900, None), (901, ""), (902, " \n\t"), (903, "A b"), (904, "a B"), (905, "a b c"), (None, "a b c"), (None, None)]
@@ -293,5 +293,69 @@ def test_edited_passages_are_found_and_short_ones_are_not(spark):
     assert {i for r in got for i in (r["id"], r["other_id"])} == edited
 
 
+def test_places_follow_the_diagonal():
+    """Shingles that stand at several places are put where the others say."""
+    a = np.array([7, 1, 2, 3, 7, 4, 5, 7, 7], dtype=np.uint64)
+    assert _places(a, np.array([1, 7, 4], dtype=np.uint64), np.array([0, 3, 4])).tolist() == [1, 4, 5]
+    assert _places(np.zeros(5, dtype=np.uint64), np.zeros(3, dtype=np.uint64), np.arange(3)).tolist() == [0, 1, 2]
+
+
+def test_insertions_leave_one_row_for_a_pair(spark):
+    """Passages on several diagonals are one stretch, reported once."""
+    rng = random.Random(14)
+    passage = [word(rng) for _ in range(200)]
+    copy = passage[:90] + [word(rng), word(rng)] + passage[90:]
+    rows = [(1, " ".join(passage)), (2, " ".join(copy))]
+    (row,) = repeated_passages(spark.createDataFrame(rows, DOC)).collect()
+    assert {row["id"], row["other_id"]} == {1, 2} and row["start"] == row["other_start"] == 0
+    assert {row["end"], row["other_end"]} == {200, 202}
+
+
+def test_every_text_of_an_id_is_compared(spark):
+    """A shorter text of an id is linked too, at its own positions, and not to its own document."""
+    rng = random.Random(12)
+    passage = " ".join(word(rng) for _ in range(60))
+    long = " ".join(word(rng) for _ in range(300))
+    rows = [(1, long), (1, passage), (2, passage), (1, "x " + passage), (2, passage), (3, "y z " + passage)]
+    got = {(r["id"], r["other_id"]) for r in repeated_passages(spark.createDataFrame(rows, DOC)).collect()}
+    assert brute.components([1, 2, 3], got) == {1: 1, 2: 1, 3: 1}
+    assert all(a != b for a, b in got)
+    got = repeated_passages(spark.createDataFrame(rows[:3], DOC)).collect()
+    assert {(r["id"], r["start"], r["end"]) for r in got} <= {(1, 0, 60), (2, 0, 60)} and got
+
+
+def plain_stretch(a, b, words, least):
+    """Whether some stretch of ``b`` of at least ``least`` words has 8 of 9 shingles in ``a``, the first and the last too."""
+    held = {tuple(a[k : k + words]) for k in range(len(a) - words + 1)}
+    agree = [tuple(b[k : k + words]) in held for k in range(len(b) - words + 1)]
+    sums = [0]
+    for x in agree:
+        sums.append(sums[-1] + x)
+    n = least - words + 1
+    ends = [k for k, x in enumerate(agree) if x]
+    return any((sums[j + 1] - sums[i]) * 9 >= (j + 1 - i) * 8 for i in ends for j in ends if j + 1 - i >= n)
+
+
+def test_edited_passages_against_brute_force(spark):
+    """Recall over passages of 60 to 150 words, an edit every 45 words, a third behind boilerplate that many hold."""
+    rng = random.Random(13)
+    boilerplate = [word(rng) for _ in range(30)]
+    rows = []
+    for i in range(0, 240, 2):
+        passage = [word(rng) for _ in range(rng.randrange(60, 150))]
+        copy = [word(rng) if k % 45 == 22 else w for k, w in enumerate(passage)]
+        ahead = boilerplate if i % 6 == 0 else []
+        rows.append((i, [word(rng) for _ in range(rng.randrange(40))] + ahead + passage + [word(rng) for _ in range(20)]))
+        rows.append((i + 1, [word(rng) for _ in range(30)] + ahead + copy + [word(rng) for _ in range(rng.randrange(40))]))
+    rows += [(1000 + i, [word(rng) for _ in range(40)] + boilerplate + [word(rng) for _ in range(40)]) for i in range(60)]
+    want = {(a, b) for (a, x), (b, y) in zip(rows[:240:2], rows[1:240:2], strict=True) if plain_stretch(x, y, 5, 50)}
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], DOC).repartition(6)).collect()
+    found = {(min(r["id"], r["other_id"]), max(r["id"], r["other_id"])) for r in got}
+    assert len(want) > 60
+    assert len(want & found) >= 0.9 * len(want)
+    texts = dict(rows)
+    assert all(plain_stretch(texts[r["other_id"]], texts[r["id"]], 5, 50) for r in got)
+
+
 def test_passages_of_nothing(spark):
     assert repeated_passages(spark.createDataFrame([], DOC)).count() == 0

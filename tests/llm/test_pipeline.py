@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
@@ -103,7 +103,7 @@ def test_run_applies_all_stages(spark):
     assert 0 < got.count() <= 200 and got.where(F.col("doc_id").isNull()).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op2_language_id", "op5_decontaminate", "op7_personal_data", "op8_substring_dedup", "op10_minhash_near_dedup"])
+@pytest.mark.parametrize("name", ["op2_language_id", "op5_decontaminate", "op7_personal_data", "op8_substring_dedup", "op10_minhash_near_dedup", "op11_simhash_near_dedup"])
 def test_queries_without_sql_cover_the_whole_table(spark, name):
     got = contract.queries()[name](spark, SF)
     ids = {r["doc_id"] for r in got.select("doc_id").collect()}
