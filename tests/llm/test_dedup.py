@@ -357,5 +357,35 @@ def test_edited_passages_against_brute_force(spark):
     assert all(plain_stretch(texts[r["other_id"]], texts[r["id"]], 5, 50) for r in got)
 
 
+def test_a_passage_that_repeats_itself_is_linked():
+    """Once in one text, several times in a row in the other: whichever is the group's centre."""
+    rng = np.random.default_rng(3)
+    once = rng.integers(1, 1 << 60, 56).astype(np.uint64)
+    seam = rng.integers(1, 1 << 60, 4).astype(np.uint64)
+    twice = np.concatenate([once, seam, once])
+    assert sorted(matching_stretches(once, twice, 46)) == [(0, 55, 0, 55, 1.0), (0, 55, 60, 115, 1.0)]
+    assert len(matching_stretches(twice, once, 46)) == 1
+    edited = np.concatenate([once[:30], seam, once[34:], seam, once])
+    assert {s[2:4] for s in matching_stretches(once, edited, 46)} == {(0, 55), (60, 115)}
+    for held, own in ((50, 100), (46, 60), (60, 300)):
+        (found, *_) = matching_stretches(np.full(held, 7, dtype=np.uint64), np.full(own, 7, dtype=np.uint64), 46)
+        assert found == (0, held - 1, 0, held - 1, 1.0)
+
+
+def test_repeats_within_a_text_lose_no_pair(spark):
+    rng = random.Random(16)
+    rows = []
+    for i in range(0, 40, 2):
+        passage = [word(rng) for _ in range(rng.randrange(52, 90))]
+        rows.append((i, " ".join([word(rng) for _ in range(20)] + passage)))
+        rows.append((i + 1, " ".join(passage * rng.randrange(2, 5) + [word(rng) for _ in range(20)])))
+    rows += [(100 + n, " ".join([word(rng) for _ in range(9)] + [f"w{n % 5}"] * n + [word(rng) for _ in range(9)])) for n in range(50, 150, 3)]
+    got = repeated_passages(spark.createDataFrame(rows, DOC).repartition(6)).collect()
+    ids, pairs = brute.repeated(rows, 50)
+    assert {i for r in got for i in (r["id"], r["other_id"])} == ids
+    part = brute.components(ids, [(r["id"], r["other_id"]) for r in got])
+    assert all(part[a] == part[b] for a, b in pairs)
+
+
 def test_passages_of_nothing(spark):
     assert repeated_passages(spark.createDataFrame([], DOC)).count() == 0
