@@ -251,11 +251,9 @@ def processed_table(wb):
     kept = [KEY, TARGET, "split", "Frequency", "Age", "SupportTicketsCount", "SatisfactionScore", *TEXTS, "RegYear", "RegMonth",
             "RegDay", "RegWeekday", "IP_IsPrivate", "DiversityRatio", "CancelRate"]
     path = write_table(wb.prepared.processed, wb.path("processed"), partition_by=("split",))
-    return wb.spark.read.parquet(path).select(
-        *kept,
-        F.round("MonetaryTotal", 4).alias("MonetaryTotal"),
-        F.round("AvgBasket", 4).alias("AvgBasket"),
-    )
+    # Halves by the binary number, as SQL rounds them.
+    rounded = [(F.round(F.col(c) * 10_000) / 10_000).alias(c) for c in ("MonetaryTotal", "AvgBasket")]
+    return wb.spark.read.parquet(path).select(*kept, *rounded)
 
 
 @query(

@@ -6,7 +6,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketlens.functions.risk import decide, risk_level
+from basketlens.functions.risk import RISK_BOUNDS, RISK_LEVELS, decide, risk_level
 from basketlens.operators.evaluate import roc_auc
 from basketlens.operators.forest import DRAWN, Forest, grow_forest, library_forest
 from basketlens.plans.prepare import select_by_importance
@@ -114,7 +114,9 @@ def forest_scores(wb):
     p = F.col("churn_probability")
     found = _forest(wb, TARGET).predict(_sides(wb)[1], (KEY, TARGET), "churn_probability").withColumn("churn_predicted", decide(p))
     return found.select(
-        KEY, F.col(TARGET).alias("churn_actual"), F.round(p, 9).alias("churn_probability"), "churn_predicted", risk_level(p).alias("risk_level"),
+        KEY, F.col(TARGET).alias("churn_actual"), F.round(p, 9).alias("churn_probability"), "churn_predicted",
+        # The lowest level takes 0 in, which a forest's leaves do reach.
+        F.when(p <= RISK_BOUNDS[0], RISK_LEVELS[0]).otherwise(risk_level(p)).alias("risk_level"),
         (F.col("churn_predicted") == F.col(TARGET)).alias("correct"),
     )
 
