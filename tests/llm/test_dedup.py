@@ -2,19 +2,23 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import brute
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.llm import near_dedup
+from basketlens.llm import near_dedup, substring
 from basketlens.llm.components import connected_components
 from basketlens.llm.cuckoo import CuckooFilter
 from basketlens.llm.exact_dedup import CountingQuotientFilter, exact_duplicates, repeated_fingerprints
 from basketlens.llm.line_dedup import LineIndex, deduplicate_lines
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.substring import _places, matching_stretches, ranges, repeated_passages, wide_centres
+from basketlens.staging import stage_path
 
 DOC = "doc_id long, text string"
 ODD = [(900, None), (901, ""), (902, " \n\t"), (903, "A b"), (904, "a B"), (905, "a b c"), (None, "a b c"), (None, None)]
@@ -389,3 +393,23 @@ def test_repeats_within_a_text_lose_no_pair(spark):
 
 def test_passages_of_nothing(spark):
     assert repeated_passages(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_passages_keep_only_the_tables_that_their_result_reads(spark, monkeypatch):
+    """The other staged tables are deleted, and every write removes its shuffle files."""
+    setting, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(setting)
+
+    def watched(df, name, *rest):
+        seen.append((name, spark.conf.get(setting), stage_path(df, name, *rest)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(substring, "stage_path", watched)
+    monkeypatch.setattr(substring, "stage", lambda *given: watched(*given)[0])
+    shared = " ".join(f"w{i}" for i in range(70))
+    found = repeated_passages(spark.createDataFrame([(1, shared), (2, f"before {shared}"), (2, f"before {shared}")], DOC))
+    assert {(r["id"], r["other_id"]) for r in found.collect()} & {(1, 2), (2, 1)}
+    kept = {name for name, _, (_, path) in seen if Path(path.removeprefix("file:")).exists()}
+    assert kept == {"passage-names", "passage-found"}
+    assert len(seen) > 8 and all(value == "true" for _, value, _ in seen)
+    assert spark.conf.get(setting) == before
