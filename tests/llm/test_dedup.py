@@ -5,8 +5,6 @@ import random
 from pathlib import Path
 
 import brute
-from pathlib import Path
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F

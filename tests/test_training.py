@@ -6,7 +6,10 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from basketlens.plans.train import FOREST_TASKS, Training, _vectors, fit_churn_forest, widened
+from basketlens.operators.scaling import Scaler
+from basketlens.plans import train
+from basketlens.plans.prepare import Preparation, Prepared
+from basketlens.plans.train import FOREST_TASKS, SPEND_MEMORY, Training, _vectors, fit_churn_forest, fit_spend, widened
 from basketlens.sources.artefacts import MODEL_NAMES, PREPARATION_NAMES, bundle_of
 
 
@@ -39,3 +42,19 @@ def test_more_tasks_leave_a_forest_as_it_is(spark):
     plain = RandomForestClassifier(numTrees=5, maxDepth=5, minInstancesPerNode=5, maxBins=64, seed=42, weightCol="weight")
     vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(_vectors(rows, ["a", "b"], "Churn", False))
     assert model.stages[-1].toDebugString.split("\n")[1:] == plain.fit(vectors).toDebugString.split("\n")[1:]
+
+
+def test_memory_for_more_nodes_a_pass_leaves_the_spend_trees_as_they_are(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        F.col("id").alias("CustomerID"), F.lit("train").alias("split"), F.lit(0).alias("Churn"),
+        *[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(m)).cast("double").alias(f"x{i}") for i, m in enumerate((97, 89, 13))],
+    ).withColumn("MonetaryTotal", 3 * F.col("x0") + F.col("x1") * F.col("x2"))
+    prepared = Prepared(rows.coalesce(1), None, None, None, Preparation((), None, (), None, {}, (), Scaler((), (), ())))
+    grown = []
+    for memory in (SPEND_MEMORY, 1):
+        monkeypatch.setattr(train, "SPEND_MEMORY", memory)
+        forest = fit_spend(prepared, trees=6, depth=6).model.stages[-1]
+        assert forest.getOrDefault("maxMemoryInMB") == memory
+        grown.append(forest.toDebugString.split("\n")[1:])
+    assert grown[0] == grown[1]
+    assert SPEND_MEMORY > 256
