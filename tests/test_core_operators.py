@@ -59,6 +59,22 @@ def test_visits_in_twenty_columns_do_not_follow_the_rows(spark):
     assert shares[1] < 0.3 * shares[0]
 
 
+def test_visits_name_their_rows_and_are_dealt_over_tasks(spark, monkeypatch):
+    """What a task lists holds no vectors, and a block's list in many parts gives the same neighbours."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(300, 6))
+    points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "key long, vec array<double>")
+    listed, original = [], neighbours._visits
+    monkeypatch.setattr(neighbours, "_visits", lambda *given: (listed.append(original(*given)), listed[-1])[1])
+    found = []
+    for rings in (neighbours.RINGS, 2):
+        monkeypatch.setattr(neighbours, "RINGS", rings)
+        _, near = nearest_neighbours(points, 5, cell_rows=20)
+        found.append(sorted((r["rep"], r["rank"], tuple(r["neighbour"])) for r in near.collect()))
+    assert found[0] == found[1] and len(found[0]) == 1500
+    assert [sorted(v.columns) for v in listed] == [["away", "cell", "radius", "rep"]] * 2
+
+
 @pytest.mark.parametrize("shape", ["normal", "skewed", "copies", "line"])
 def test_neighbours_match_brute_force(spark, shape):
     rng = np.random.default_rng(7)
