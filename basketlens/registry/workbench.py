@@ -18,7 +18,7 @@ from basketlens.plans.train import Training, TrainingSizes
 from basketlens.sources.artefacts import Bundle, bundle_of
 from basketlens.sources.customer360 import customer360, table
 from basketlens.sources.customers import KEY, TARGET
-from basketlens.staging import new_path, stage
+from basketlens.staging import new_path, small_tasks, stage
 
 #: Columns of the customer table with the profile fixture, by type.
 LONGS = ("CustomerID Frequency UniqueInvoices UniqueProducts UniqueDescriptions UniqueCountries TotalTransactions "
@@ -69,7 +69,8 @@ class Workbench:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return stage(with_profile_fixture(customer360(self.spark, self.sf_dir)), "customer360")
+        with small_tasks(self.spark):
+            return stage(with_profile_fixture(customer360(self.spark, self.sf_dir)), "customer360")
 
     @cached_property
     def split(self) -> DataFrame:

@@ -1,6 +1,7 @@
 """Hot keys, and plans that must stay inside the JVM and off single tasks."""
 
 import datetime as dt
+import re
 
 import duckdb
 import pytest
@@ -10,6 +11,7 @@ from basketlens.functions import cleaning, risk, whatif
 from basketlens.operators import evaluate, profile
 from basketlens.operators.clustering import assign
 from basketlens.operators.split import stratified_split
+from basketlens.registry import workbench
 from basketlens.registry.base_sql import C360
 from basketlens.registry.workbench import CENTRES, CLUSTER_FEATURES, with_profile_fixture
 from basketlens.sources.customer360 import customer360
@@ -111,3 +113,13 @@ def test_scans_read_only_what_is_used(spark):
 def test_staged_tables_live_in_the_shared_folder(spark):
     df = stage(spark.range(3).toDF("x"), "here")
     assert all(checkpoint_root(spark) in f for f in df.inputFiles())
+
+
+def test_customer_table_reads_little_at_a_time(spark, monkeypatch):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, seen = [spark.conf.get(k) for k in keys], []
+    monkeypatch.setattr(workbench, "stage", lambda df, name: seen.append([spark.conf.get(k) for k in keys]) or df)
+    found = workbench.Workbench(spark, SF).customers
+    assert seen == [[str(16 << 20)] * 2] and [spark.conf.get(k) for k in keys] == before
+    # Lines are near to distinct already: no aggregation keeps every (order, part, supplier).
+    assert "keys=[l_orderkey, l_partkey, l_suppkey]" not in re.sub(r"#\d+L?", "", plan(found))
