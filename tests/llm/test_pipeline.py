@@ -6,6 +6,7 @@ import string
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -119,3 +120,28 @@ def test_queries_without_sql_cover_the_whole_table(spark, name):
         want, _ = brute.repeated(list(every.items()), 51)
         others = {r["other_doc_id"] for r in got.select("other_doc_id").collect()}
         assert want <= ids | others
+
+
+@pytest.mark.parametrize(
+    ("stage", "operator"),
+    [
+        (corpus_pipeline.identify_language, "learn_languages"),
+        (corpus_pipeline.deduplicate_repeated_lines, "deduplicate_lines"),
+        (corpus_pipeline.drop_near_duplicates, "near_duplicates"),
+        (corpus_pipeline.drop_contaminated, "remove_contaminated"),
+    ],
+)
+def test_stages_hand_few_bytes_at_a_time_to_python(spark, monkeypatch, stage, operator):
+    key, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+
+    def watched(*args, **options):
+        texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4096).alias("text"))
+        size = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+        sizes.extend(r["n"] for r in texts.mapInArrow(size, "n long").collect())
+        raise InterruptedError
+
+    monkeypatch.setattr(corpus_pipeline, operator, watched)
+    with pytest.raises(InterruptedError):
+        stage(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert len(sizes) > 1 and max(sizes) < 5 << 20 and spark.conf.get(key) == before
