@@ -7,8 +7,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from basketlens.operators.clustering import centre_distances, nearest_centre, silhouette
-from basketlens.operators.kmeans import kmeans_sweep
-from basketlens.plans.train import fit_segments, segment_model, sweep_segments
+from basketlens.operators.kmeans import _nearest, kmeans_sweep
+from basketlens.plans.train import dealt, fit_segments, segment_model, sweep_segments
 
 POINTS = "key long, x array<double>"
 
@@ -120,3 +120,36 @@ def sum_of_squares(model, vectors):
     centres = model.clusterCenters()
     rows = model.transform(vectors).collect()
     return sum(float(((r["pca"].toArray() - centres[r["cluster"]]) ** 2).sum()) for r in rows)
+
+
+def test_rows_are_read_once_however_many_rounds(spark):
+    x = groups(5, n=900)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    rows = spark.sparkContext.parallelize([(i, [float(v) for v in row]) for i, row in enumerate(x)], 5).map(counted)
+    sweep = kmeans_sweep(spark.createDataFrame(rows, POINTS), "key", F.col("x"), range(2, 7), 4)
+    assert sweep.scans > 10 and len(x) <= read.value <= 2 * len(x)
+
+
+def test_starts_of_a_seed_are_the_same_for_every_number_of_clusters(spark):
+    sweep = kmeans_sweep(table(spark, groups(6)), "key", F.col("x"), range(2, 6), 3, max_rounds=1, tolerance=1e9, score=False)
+    alone = [kmeans_sweep(table(spark, groups(6)), "key", F.col("x"), range(r.k, r.k + 1), 1, r.seed, max_rounds=1, score=False).runs[0] for r in sweep.runs]
+    assert all(np.allclose(a.centres, b.centres) and np.isclose(a.inertia, b.inertia) for a, b in zip(sweep.runs, alone, strict=True))
+
+
+def test_nearest_centres_of_all_runs_are_the_first_of_the_nearest():
+    x = np.repeat(groups(7, n=40), 3, axis=0)
+    rng = np.random.default_rng(7)
+    runs = [x[rng.integers(0, len(x), k)] for k in (1, 2, 2, 5, 3)]
+    for own, centres in zip(_nearest(x, runs), runs, strict=True):
+        assert (own == ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)).all()
+
+
+def test_short_tables_of_a_sweep_are_dealt_over_the_cores(spark):
+    assert dealt(spark.range(9_000).coalesce(1)).rdd.getNumPartitions() == 2
+    assert dealt(spark.range(40_000).coalesce(1)).rdd.getNumPartitions() == 8
+    assert dealt(spark.range(100).repartition(4)).rdd.getNumPartitions() == 1
