@@ -6,10 +6,13 @@ from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from basketlens.llm import near_dedup, substring
+from basketlens.llm.common import encoded, word_hashes
 from basketlens.llm.components import connected_components
 from basketlens.llm.cuckoo import CuckooFilter
 from basketlens.llm.exact_dedup import CountingQuotientFilter, exact_duplicates, repeated_fingerprints
@@ -411,3 +414,22 @@ def test_passages_keep_only_the_tables_that_their_result_reads(spark, monkeypatc
     assert kept == {"passage-names", "passage-found"}
     assert len(seen) > 8 and all(value == "true" for _, value, _ in seen)
     assert spark.conf.get(setting) == before
+
+
+def test_word_hashes_are_those_of_the_words_bytes():
+    texts = ["Der  Ähre É", None, "", " \t", "x y x 日本", "last"]
+    for column in (pa.array(texts, pa.string()), pa.array(["cut", *texts], pa.string()).slice(1)):
+        hashes, counts = word_hashes(column)
+        words = [w for t in texts for w in (t or "").replace("D", "d").split()]
+        assert hashes.tolist() == [xxhash.xxh64_intdigest(w.encode()) for w in words]
+        assert counts.tolist() == [3, 0, 0, 0, 4, 1]
+    assert encoded(pa.array(["a", "", "é"]).slice(1)) == [b"", "é".encode()]
+    assert encoded(pa.array([], pa.string())) == []
+
+
+def test_window_minima_of_several_texts():
+    rng = np.random.default_rng(4)
+    for width in (1, 5, 46):
+        values, owner = rng.integers(0, 30, 300).astype(np.uint64), np.sort(rng.integers(0, 6, 300))
+        starts = [s for s in range(300 - width + 1) if owner[s] == owner[s + width - 1]]
+        assert wide_centres(values, owner, width).tolist() == sorted({s + int(values[s : s + width].argmin()) for s in starts})
