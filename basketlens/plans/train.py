@@ -103,6 +103,8 @@ class Segmentation:
 
 #: Rows a task of an iterative fit should have; smaller tables are read by fewer tasks.
 ROWS_PER_TASK = 50_000
+#: A table of less than so many of those tasks is read by up to as many, with this many rows each: its fits have the cluster to themselves.
+SHORT_TASKS, SHORT_ROWS = 12, 10_000
 #: A sweep weighs every row against all centres in every round: a short table is dealt over the cores, this many rows to a task at least.
 SWEEP_ROWS = 4_000
 #: Fits that are submitted side by side; each is a chain of small jobs.
@@ -115,7 +117,8 @@ SPEND_MEMORY = 1024
 
 def gathered(df: DataFrame) -> DataFrame:
     """A written table in as many partitions as its rows call for, for fits that scan it many times."""
-    return df.coalesce(max(1, ceil(df.count() / ROWS_PER_TASK)))
+    rows = df.count()
+    return df.coalesce(max(1, ceil(rows / ROWS_PER_TASK), min(SHORT_TASKS, rows // SHORT_ROWS)))
 
 
 def dealt(df: DataFrame) -> DataFrame:

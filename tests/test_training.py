@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketlens.operators.scaling import Scaler
 from basketlens.plans import train
 from basketlens.plans.prepare import Preparation, Prepared
-from basketlens.plans.train import FOREST_TASKS, SPEND_MEMORY, Training, _vectors, fit_churn_forest, fit_spend, widened
+from basketlens.plans.train import FOREST_TASKS, SPEND_MEMORY, Training, _vectors, fit_churn_forest, fit_spend, gathered, widened
 from basketlens.sources.artefacts import MODEL_NAMES, PREPARATION_NAMES, bundle_of
 
 
@@ -58,3 +58,9 @@ def test_memory_for_more_nodes_a_pass_leaves_the_spend_trees_as_they_are(spark,
         grown.append(forest.toDebugString.split("\n")[1:])
     assert grown[0] == grown[1]
     assert SPEND_MEMORY > 256
+
+
+def test_tables_that_have_the_cluster_to_themselves_are_read_by_more_tasks(spark):
+    """Long tables by their rows, tables of a few tasks by more, short ones by one as before."""
+    tasks = [gathered(spark.range(0, rows, 1, 16)).rdd.getNumPartitions() for rows in (100, 19_999, 113_000, 590_000, 700_000)]
+    assert tasks == [1, 1, 11, 12, 14]
