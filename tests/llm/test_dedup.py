@@ -362,6 +362,28 @@ def test_edited_passages_against_brute_force(spark):
     assert all(plain_stretch(texts[r["other_id"]], texts[r["id"]], 5, 50) for r in got)
 
 
+def test_edited_passages_that_are_mostly_boilerplate_are_linked(spark):
+    """The centres of their keys hold the boilerplate alone; the two texts that share more must meet all the same."""
+    rng = random.Random(21)
+    text = lambda n: [word(rng) for _ in range(n)]
+    rows, pairs = [], []
+    for n in (30, 36, 40, 44):
+        hot = text(n)
+        rows += [text(rng.randrange(5, 40)) + hot + text(rng.randrange(5, 40)) for _ in range(60)]
+        for _ in range(40):
+            k = rng.randrange(61 - n)
+            passage = text(k) + hot + text(60 - n - k)
+            copy = list(passage)
+            copy[rng.randrange(8, 52)] = "changed"
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [text(rng.randrange(5, 40)) + p + text(rng.randrange(5, 40)) for p in (passage, copy)]
+    want = {(a, b) for a, b in pairs if plain_stretch(rows[a], rows[b], 5, 50)}
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], DOC).repartition(6)).collect()
+    assert len(want) > 150
+    assert len(want & {(min(r["id"], r["other_id"]), max(r["id"], r["other_id"])) for r in got}) >= 0.99 * len(want)
+    assert all(plain_stretch(rows[r["other_id"]], rows[r["id"]], 5, 50) for r in got)
+
+
 def test_a_passage_that_repeats_itself_is_linked():
     """Once in one text, several times in a row in the other: whichever is the group's centre."""
     rng = np.random.default_rng(3)
